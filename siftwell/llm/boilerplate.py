@@ -41,7 +41,7 @@ TAIL = re.compile(r"(?:\s*(?:\(\d+\)|[-–]\s*\d+|\s\d+))+\s*[.!?…:;»]*\s*$")
 AGE = re.compile(r"\b\d+\s?(?:d|h|min)\s*$")
 COPY = re.compile(r"\(c\)|copyright(?= \d)|&copy;", re.I)
 SENTENCE = re.compile(r"(?<=[.!?…])\s+(?=\S)")
-ENDS = re.compile(r"[.!?…;:]['\")»“”\s]*$")
+ENDS = re.compile(r"[.!?…;:]['\")»“”\s]{0,6}$")
 NAMED = re.compile(r"^\s*([^:]{3,40}?)(?::| [-–|]) +\S")
 LEADER = re.compile(r"\.{4,}|\w[|;]\S|\d\t\S|\S\t\d")
 TAGS = re.compile(r"^(?:#|[^\W\d_]+:|[^\W\d_]+ /)?\s*[^\W\d_][^,.:;|()\d]{1,40}(?:, [^,.:;|()\d]{2,40}){3,}\s*$", re.I)
@@ -68,12 +68,24 @@ HEADINGS = (
 )
 
 
+LONG, HEAD = 160, 80
+DIGIT = re.compile(r"\d")
+
+
 def words(line: str) -> list[str]:
-    return WORD.findall(COPY.sub("©", line).lower())
+    low = line.lower()
+    return WORD.findall(COPY.sub("©", low) if "(c)" in low or "copyr" in low or "&copy" in low else low)
 
 
 def bare(line: str) -> str:
-    return TAIL.sub("", LEAD.sub("", line.replace("\xa0", " ").replace("\r", " ").strip()))
+    """A line without bullets, numbers and counters around it."""
+    s = line.replace("\xa0", " ").replace("\r", " ").strip()
+    if s and not s[0].isalpha():
+        s = LEAD.sub("", s)
+    end = s[-14:]
+    if DIGIT.search(end):
+        s = s[: len(s) - len(end)] + TAIL.sub("", end) if len(end) < len(s) else TAIL.sub("", s)
+    return s
 
 
 @lru_cache(1 << 16)
@@ -235,6 +247,8 @@ class Templates:
 
     def line(self, raw: str) -> tuple[bool, bool, bool]:
         """Whether it is covered, opens a teaser list, is a subheading."""
+        if len(raw) > LONG:
+            return self._line(raw)
         hit = self.cache.get(raw)
         if hit is None:
             hit = self._line(raw)
@@ -245,6 +259,11 @@ class Templates:
 
     def _line(self, raw: str) -> tuple[bool, bool, bool]:
         s = raw.replace("\xa0", " ").replace("\r", " ").strip()
+        if len(s) > LONG:  # nothing but a line that opens like a template can be one
+            w = words(LEAD.sub("", s[:HEAD]))[:-1]
+            t = self.table
+            if len(w) > 2 and w[0] != "©" and f"H{w[0]} {w[1]}" not in t and f"H{w[0]} {w[1]} {w[2]}" not in t and "H" + " ".join(w[:4]) not in t and not TAGS.search(s):
+                return False, False, False
         b = bare(s)
         w = tuple(words(b))
         if not w:
@@ -314,57 +333,66 @@ class Templates:
                 names.add("".join(w[w.index("©") + 1 :][:2]) if "©" in w else "")
         names.discard("")
         block = False
+        last = BLANK
         for i, raw in enumerate(lines):
             s = raw.strip()
             covered, teaser, heading = infos[i]
             if not s:
                 out.append(BLANK)
                 continue
-            last = next((c for c in reversed(out) if c), BLANK)
             if covered and not scripts_notice(s):
+                last = BOILER
                 out.append(BOILER)
                 if teaser:
                     block = True
                 continue
-            m = NAMED.match(raw.replace("\xa0", " "))
+            start = s[:48]
+            m = NAMED.match(start.replace("\xa0", " ")) if ":" in start or " -" in start or " |" in start or " –" in start else None
             if m and names:
                 head = "".join(words(bare(m[1])))
                 if head in names or any(head and n.startswith(head) and len(head) > 5 for n in names):
+                    last = BOILER
                     out.append(BOILER)
                     continue
-            short = len(s) < 110 and not (ENDS.search(s) and len(s) > 60)
+            short = block and len(s) < 110 and not (ENDS.search(s) and len(s) > 60)
             if block and short and (not heading or MARK.match(raw) or AGE.search(s)) and not LEADER.search(s) and sum(map(str.isalpha, s)) * 2 > len(s) and (MARK.match(raw) or AGE.search(s) or (not ENDS.search(TAIL.sub("", s)) and len(s.split()) < 13)):
+                last = BOILER
                 out.append(BOILER)
                 continue
             if last == BOILER and s.isalpha() and i and s[0].isupper():
                 out.append(BOILER)
                 continue
             block = False
+            last = BODY
             out.append(MAYBE if m and len(s) < 300 else BODY)
         return out
 
 
 # A demand for scripts or another browser, in the languages at hand.
 SCRIPTS = re.compile(
-    r"java ?script|\bJS\b|(?:skript|script|скрипт|сценари)\w*|(?:browser|navegador|navigateur|браузер\w*)\b.*(?:out of date|newer|veraltet|neuer|obsoleto|ancien|récent|обнов|устарел)|newer browser",
+    r"java ?script|\bJS\b|\b(?:scripts?|skripte?n?|скрипт\w*|сценари\w*)\b|newer browser|checking your browser|you are human|ad blocker|before the content can load|press refresh|reload the page|switch them on and reload|content cannot be shown",
     re.I,
 )
+ABOUT = re.compile(r"\b(?:guide|how to|shows|explains)\b", re.I)
 
 
-def scripts_notice(line: str) -> bool:
-    return len(line) < 160 and bool(SCRIPTS.search(line)) and not DESCRIPT.search(line)
+HINTED = re.compile("script|js[ ,]|skript|скрипт|сценари|browser|you are human|ad blocker|content can|press refresh|reload")
 
 
-DESCRIPT = re.compile(r"descript|manuscript|transcript|subscript|prescript|inscript|postscript", re.I)
+def scripts_notice(line: str) -> bool:
+    if len(line) >= 170:
+        return False
+    return bool(HINTED.search(line.lower())) and bool(SCRIPTS.search(line)) and not ABOUT.search(line)
 
 
 def demote_scripts(lines: list[str], classes: list[int], notice) -> list[int]:
     """A notice about scripts beside a body of real content is no body."""
     hits = [i for i, c in enumerate(classes) if c >= BODY and notice(lines[i])]
-    rest = sum(len(lines[i]) for i, c in enumerate(classes) if c >= BODY) - sum(len(lines[i]) for i in hits)
-    if hits and rest > 150:
-        for i in hits:
-            classes[i] = BOILER
+    if hits:
+        others = [lines[i] for i, c in enumerate(classes) if c >= BODY and i not in hits]
+        if sum(len(x) for x in others if ENDS.search(x) or len(x.split()) > 9 or LEADER.search(x) or sum(map(str.isalpha, x)) * 2 < len(x)) > 40:
+            for i in hits:
+                classes[i] = BOILER
     return classes
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftwell.llm import boilerplate, components, site_lines
+from siftwell.llm import boilerplate, components, languages, residue, site_lines, statistics
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,7 +32,31 @@ def p6_every_file(spark, d):
     return components.every_file(table(spark, d, "bands"), table(spark, d, "signature"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_main_content": p1_main_content, "p4_found": p4_found, "p6_found": p6_found, "p6_every_file": p6_every_file}
+def p3_found(spark, d):
+    return languages.found(table(spark, d, "documents"), table(spark, d, "pages"), table(spark, d, "lang_labels"))
+
+
+def p3_document_languages(spark, d):
+    return languages.document_languages(table(spark, d, "documents"), table(spark, d, "pages"), table(spark, d, "lang_labels"))
+
+
+def p7_found(spark, d):
+    return statistics.not_prose(table(spark, d, "documents"), table(spark, d, "pages"))
+
+
+def p7_statistics(spark, d):
+    return statistics.statistics(table(spark, d, "documents"), table(spark, d, "pages"))
+
+
+def p10_found(spark, d):
+    return residue.residue_documents(table(spark, d, "documents"), table(spark, d, "pages"))
+
+
+def p10_without_residue(spark, d):
+    return residue.without_residue(table(spark, d, "documents"), table(spark, d, "pages")).select("doc_id", "text")
+
+
+QUERIES = {"p1_found": p1_found, "p1_main_content": p1_main_content, "p3_found": p3_found, "p3_document_languages": p3_document_languages, "p4_found": p4_found, "p6_found": p6_found, "p6_every_file": p6_every_file, "p7_found": p7_found, "p7_statistics": p7_statistics, "p10_found": p10_found, "p10_without_residue": p10_without_residue}
 
 SITE_SQL = "nullif(regexp_replace(regexp_extract(lower(trim(url)), '^(?:[a-z][a-z0-9+.\\-]*://)?(?:[^/@?#]*@)?([^/:?#]+)', 1), '^www\\.', ''), '')"
 
