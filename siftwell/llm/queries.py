@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftwell.llm import boilerplate, components, languages, residue, site_lines, statistics
+from siftwell.llm import abuse, boilerplate, components, languages, mixing, packing, residue, site_lines, statistics
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,18 @@ def p4_found(spark, d):
     return site_lines.repeated_lines(table(spark, d, "documents"))
 
 
+def p5_found(spark, d):
+    return abuse.abusive(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+def p5_scores(spark, d):
+    return abuse.scores(table(spark, d, "documents"), table(spark, d, "labels")).select("doc_id", "abuse_score")
+
+
+def p5_site_rates(spark, d):
+    return abuse.site_rates(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 def p6_found(spark, d):
     return components.file_groups(table(spark, d, "bands"))
 
@@ -56,7 +68,25 @@ def p10_without_residue(spark, d):
     return residue.without_residue(table(spark, d, "documents"), table(spark, d, "pages")).select("doc_id", "text")
 
 
-QUERIES = {"p1_found": p1_found, "p1_main_content": p1_main_content, "p3_found": p3_found, "p3_document_languages": p3_document_languages, "p4_found": p4_found, "p6_found": p6_found, "p6_every_file": p6_every_file, "p7_found": p7_found, "p7_statistics": p7_statistics, "p10_found": p10_found, "p10_without_residue": p10_without_residue}
+def p8_windows(spark, d):
+    return packing.windows(table(spark, d, "documents"))
+
+
+def p8_fill(spark, d):
+    return packing.fill_report(p8_windows(spark, d))
+
+
+def p9_mix(spark, d):
+    mixed = mixing.mix(table(spark, d, "documents"), table(spark, d, "source_targets"))
+    return mixed.where("copies > 0")
+
+
+def p9_shares(spark, d):
+    targets = table(spark, d, "source_targets")
+    return mixing.shares(mixing.mix(table(spark, d, "documents"), targets), targets)
+
+
+QUERIES = {"p1_found": p1_found, "p1_main_content": p1_main_content, "p3_found": p3_found, "p3_document_languages": p3_document_languages, "p4_found": p4_found, "p5_found": p5_found, "p5_scores": p5_scores, "p5_site_rates": p5_site_rates, "p6_found": p6_found, "p6_every_file": p6_every_file, "p7_found": p7_found, "p7_statistics": p7_statistics, "p8_windows": p8_windows, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_without_residue": p10_without_residue}
 
 SITE_SQL = "nullif(regexp_replace(regexp_extract(lower(trim(url)), '^(?:[a-z][a-z0-9+.\\-]*://)?(?:[^/@?#]*@)?([^/:?#]+)', 1), '^www\\.', ''), '')"
 
