@@ -274,19 +274,19 @@ class Templates:
             return True, True, heading
         if LEADER.search(b) or sum(map(len, w)) * 2 < len(b):
             return False, False, True
-        if len(w) < 18 and not ENDS.search(b) and TRAIL.search(b):
+        if len(w) < 18 and not ENDS.search(b[-9:]) and TRAIL.search(b):
             return True, False, False
         if TAGS.search(s) and all(len(p.split()) < 5 for p in s.split(",")):
             return True, False, False
         m = LABEL.match(b)
-        if m and len(w) < 24 and (not ENDS.search(b) or len(w) < 14) and "P" + " ".join(words(m[1])) in self.table:
+        if m and len(w) < 24 and (not ENDS.search(b[-9:]) or len(w) < 14) and "P" + " ".join(words(m[1])) in self.table:
             return True, False, False
-        if not ENDS.search(b) and self._menu(w):
+        if not ENDS.search(b[-9:]) and self._menu(w):
             return True, False, False
         parts = [p for p in SEGMENT.split(b) if words(p)]
         if len(parts) > 1:
             known = sum(("G" + " ".join(x)) in self.table or ("F" + " ".join(x)) in self.table for x in (words(bare(p)) for p in parts))
-            if known == len(parts) or (known and len(w) < 16 and not ENDS.search(b) and self._known(parts[0])):
+            if known == len(parts) or (known and len(w) < 16 and not ENDS.search(b[-9:]) and self._known(parts[0])):
                 return True, False, False
         sentences = SENTENCE.split(b)
         if len(sentences) == 1:
@@ -354,7 +354,7 @@ class Templates:
                     last = BOILER
                     out.append(BOILER)
                     continue
-            short = block and len(s) < 110 and not (ENDS.search(s) and len(s) > 60)
+            short = block and len(s) < 110 and not (ENDS.search(s[-9:]) and len(s) > 60)
             if block and short and (not heading or MARK.match(raw) or AGE.search(s)) and not LEADER.search(s) and sum(map(str.isalpha, s)) * 2 > len(s) and (MARK.match(raw) or AGE.search(s) or (not ENDS.search(TAIL.sub("", s)) and len(s.split()) < 13)):
                 last = BOILER
                 out.append(BOILER)
@@ -390,7 +390,7 @@ def demote_scripts(lines: list[str], classes: list[int], notice) -> list[int]:
     hits = [i for i, c in enumerate(classes) if c >= BODY and notice(lines[i])]
     if hits:
         others = [lines[i] for i, c in enumerate(classes) if c >= BODY and i not in hits]
-        if sum(len(x) for x in others if ENDS.search(x) or len(x.split()) > 9 or LEADER.search(x) or sum(map(str.isalpha, x)) * 2 < len(x)) > 40:
+        if sum(len(x) for x in others if ENDS.search(x[-9:]) or len(x.split()) > 9 or LEADER.search(x) or sum(map(str.isalpha, x)) * 2 < len(x)) > 40:
             for i in hits:
                 classes[i] = BOILER
     return classes

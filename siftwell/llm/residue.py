@@ -53,7 +53,9 @@ PHRASES = (
 )
 # What a failed rendering leaves behind.
 BROKEN = frozenset("undefined null nan none n/a array #ref! &nbsp; &nbsp [object object] #value! #n/a nil".split())
-TRACE = re.compile(r"(?m)[{}<%@_$#]|\[[a-z]|\[o|&nbsp|\b(?i:undefined|null|nan|none|n/a|array|error|fehler|erreur|errore|erro|ошибка|oops|whoops|sorry|ref)\b|\b[45]\d\d\b")
+# Words and signs without which no rule below can hold.
+TRACES = ("{", "<", "%", "@", "_", "$", "#", "[", "&nbsp", "undefined", "null", "nan", "none", "n/a", "array", "error", "fehler", "erreur", "errore", "erro", "ошибка", "oops", "whoops", "sorry", "ref", "err")
+CODED = re.compile(r"(?m)^[ \t]*[45]\d\d\s")
 FILLER = ("ipsum", "headline", "title", "text", "words", "summary")
 FIELD = re.compile(
     r"\{\{[^{}\n]{1,40}\}\}|\{%[^%\n]{1,40}%\}|\$\{[^{}\n]{1,40}\}|<%=?[^%\n]{1,40}%>|<<[\w. ]{1,40}>>|%%[\w.]{1,40}%%|@@[\w.]{1,40}@@|__[a-z][\w.]{0,40}?__|\[\[[^\[\]\n]{1,40}\]\]|\[[a-z]+(?:[_.][a-z]+)+\]|\[(?:date|city|company|name|headline|body|author|product)\]|\{[a-zA-Z][\w.]{1,30}\}|#[A-Za-z]+(?:[_.][a-z]+)*#",
@@ -75,6 +77,23 @@ def automaton():
     return a
 
 
+@lru_cache(1)
+def traces():
+    a = ahocorasick.Automaton()
+    for p in (*PHRASES, *TRACES):
+        a.add_word(p, len(p) if p.isalpha() and p in TRACES else 0)
+    a.make_automaton()
+    return a
+
+
+def traced(low: str) -> bool:
+    """Whether a text holds any phrase or sign, or one of the words by itself."""
+    for end, n in traces().iter(low):
+        if not n or not (low[end - n : end - n + 1].isalpha() if end >= n else False) and not low[end + 1 : end + 2].isalpha():
+            return True
+    return False
+
+
 def unfilled(line: str) -> bool:
     """Whether a line is little else than unfilled fields."""
     if not any(c in line for c in "{<%@_[$#"):
@@ -124,7 +143,7 @@ def residue(lines: list[str]) -> tuple[int, int]:
     whole = "\n".join(lines)
     low = whole.lower()
     foreign = not any(map(COMMON.__contains__, low.split()))  # no function word of any language
-    if next(auto.iter(low), None) is None and not TRACE.search(whole) and not foreign:
+    if not traced(low) and not CODED.search(whole) and not foreign:
         return 0, len(whole)
     covered = open_prose = fields = 0
     left: list[str] = []

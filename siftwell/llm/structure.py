@@ -104,7 +104,7 @@ def token_kinds(line: str) -> list[int]:
     stuffed = False
     if len(low) > 9:
         content = [t for t in low if t not in COMMON]
-        ends = ENDS.search(line)
+        ends = ENDS.search(line[-9:])
         distinct = len(set(content))
         stuffed = distinct * 2 <= len(content) and not ends
         if len(low) > 14:
@@ -172,12 +172,12 @@ def line_profiles(lines: list[str]) -> tuple[list[int], np.ndarray, np.ndarray]:
     best = (_js(c, _P) + KIND_WEIGHT * _js(k, _Q)).argmin(1)
     out = []
     for x, b, n in zip(lines, best, kinds):
-        marked = n[6] > 0 and n.sum() <= 8 and not (ENDS.search(x) and n.sum() > 5)
+        marked = n[6] > 0 and n.sum() <= 8 and not (ENDS.search(x[-9:]) and n.sum() > 5)
         if marked:
             out.append(NAMES.index("list"))
-        elif NAMES[b] == "list" and not n[6] or NAMES[b] in PROSE and n.sum() < 9 and not ENDS.search(x):
+        elif NAMES[b] == "list" and not n[6] or NAMES[b] in PROSE and n.sum() < 9 and not ENDS.search(x[-9:]):
             out.append(-1)
-        elif NAMES[b] not in PROSE and n[0] + n[1] >= 4 and n[0] and ENDS.search(x) and n[3] + n[4] + n[5] <= n[0] + n[1]:
+        elif NAMES[b] not in PROSE and n[0] + n[1] >= 4 and n[0] and ENDS.search(x[-9:]) and n[3] + n[4] + n[5] <= n[0] + n[1]:
             out.append(NAMES.index("prose"))
         else:
             out.append(int(b))
