@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from siftwell.llm.boilerplate import Lazy, share, site
 
-TOXIC, CLEAN = 1200, 4000  # documents of either label the model is fitted on, at most
+TOXIC, CLEAN = 1200, 4000  # documents of either label the model is fitted on, chosen by hash
 BUCKETS = 1 << 15
 DIM = 8
 WINDOW = 7  # words
@@ -66,7 +66,7 @@ def plain(text: str) -> str:
     t = REPEATED.sub(r"\1", t)
     if CYRILLIC.search(t) and LATIN.search(t):
         t = re.sub(r"[^\W\d_]+", lambda m: m[0].translate(LOOKALIKE) if LATIN.search(m[0]) and CYRILLIC.search(m[0]) else m[0], t)
-    return re.sub(r"[\w@$]*[^\W\d_][\w@$]*", lambda m: m[0].translate(SIGNS) if not m[0].isalpha() and re.search(r"[^\W\d_].*[0-9@$]+.*[^\W\d_]|^[0-9@$][^\W\d_]{3}|[^\W\d_]{3}[0-9@$]$", m[0]) and sum(c.isdigit() for c in m[0]) <= len(m[0]) // 2 else m[0], t)
+    return re.sub(r"[\w@$]*[^\W\d_][\w@$]*", lambda m: m[0].translate(SIGNS) if not m[0].isalpha() and re.search(r"[^\W\d_].*[0-9@$]+.*[^\W\d_]|^[0-9@$][^\W\d_]{3}|[^\W\d_]{3}[0-9@$]$", m[0]) and 5 * sum(c.isdigit() for c in m[0]) <= 3 * len(m[0]) else m[0], t)
 
 
 ENDING = re.compile(r"[.!?…:;][\"'”»)\]]*$")
@@ -308,11 +308,14 @@ def fit(rows: list[tuple[str, int]]) -> dict:
 
 
 def labelled(documents: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = CLEAN) -> DataFrame:
-    """(text, toxic) of labelled documents, at most ``toxic`` and ``clean`` of each label, those with the smallest hashes."""
+    """(text, toxic) of labelled documents, about ``toxic`` and ``clean`` of each label, chosen by hash."""
     votes = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.avg("toxic").alias("v")).where("v <> 0.5")
     votes = votes.select("doc_id", (F.col("v") > 0.5).cast("int").alias("y"))
-    first = lambda y, n: votes.where(F.col("y") == y).orderBy(F.xxhash64("doc_id")).limit(n)
-    chosen = first(1, toxic).unionByName(first(0, clean))
+    sizes = {r["y"]: r["count"] for r in votes.groupBy("y").count().collect()}
+    part = {y: min(1.0, n / max(sizes.get(y, 0), 1)) for y, n in ((1, toxic), (0, clean))}
+    # Chosen by hash, so that no task sends more than its part of the sample.
+    bar = F.when(F.col("y") == 1, int(part[1] * (1 << 30))).otherwise(int(part[0] * (1 << 30)))
+    chosen = votes.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < bar)
     return documents.where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")
 
 
