@@ -25,7 +25,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PAGE_SAMPLE = 30_000  # most pages from which templates are counted
 MIN_PAGES = 3  # pages that must share a subtree
 MAX_BODY_SHARE = 0.04  # share of body elements among the carriers of a template
 SITE_MIN_DOCS = 5
@@ -193,31 +192,25 @@ def _count(batches):
         yield pd.DataFrame(rows[i : i + 50_000], columns=["site", "key", "outside", "inside"])
 
 
-def template_counts(pages: DataFrame, sample: int = PAGE_SAMPLE) -> DataFrame:
+def template_counts(pages: DataFrame) -> DataFrame:
     """Subtree keys with pages outside and inside bodies and the hosts they occur on."""
     rows = pages.where(F.col("html").isNotNull())
-    total = pages.count()
-    if total > sample:
-        rows = rows.where(F.pmod(F.xxhash64("page_id"), F.lit(1 << 20)) < int((1 << 20) * sample / total))
     rows = rows.select(F.coalesce(site(F.col("url")), F.lit("")).alias("site"), "html")
     counted = rows.mapInPandas(_count, "site string, key string, outside long, inside long")
     per_host = counted.groupBy("site", "key").agg(F.sum("outside").alias("outside"), F.sum("inside").alias("inside"))
     return per_host.groupBy("key").agg(F.sum("outside").alias("outside"), F.sum("inside").alias("inside"), F.max("outside").alias("most"), F.sum((F.col("outside") > 0).cast("int")).alias("hosts"))
 
 
-def fit_templates(pages: DataFrame, sample: int = PAGE_SAMPLE) -> dict[str, int]:
+def fit_templates(pages: DataFrame) -> dict[str, int]:
     """Templates: keys recurring on pages of a host, or across hosts, and hardly in bodies.
 
     Positive for a template (the hosts it is on), negative for openings that
-    bodies alone have.
-
-    At most ``sample`` pages are counted, so the table has a bound whatever the
-    size of the corpus.
+    bodies alone have.  Every page is counted.
     """
     out, within = F.col("outside"), F.col("inside")
     template = ((F.col("most") >= MIN_PAGES) | (F.col("hosts") >= MIN_PAGES)) & (within <= MAX_BODY_SHARE * out)
     own = (within >= MIN_PAGES) & (out <= MAX_BODY_SHARE * within) & F.col("key").rlike("^[HF]\\S+( \\S+){1,2}$")
-    found = template_counts(pages, sample).where(template | own)
+    found = template_counts(pages).where(template | own)
     return {r[0]: r[1] for r in found.select("key", F.when(template, F.greatest("hosts", F.lit(1))).otherwise(-1)).toLocalIterator()}
 
 
@@ -452,14 +445,14 @@ def line_classes(documents: DataFrame, templates: dict[str, int]) -> DataFrame:
     return rows.mapInPandas(run, "doc_id long, line_no int, site string, class byte, hash long")
 
 
-def boilerplate_lines(documents: DataFrame, pages: DataFrame, sample: int = PAGE_SAMPLE) -> DataFrame:
+def boilerplate_lines(documents: DataFrame, pages: DataFrame) -> DataFrame:
     """(doc_id, line_no) of the lines with visible text that are not body.
 
     Templates cover most of them; a line that no template covers is removed as
     well where it recurs on other pages of its own site (pages that are copies
     of each other count once, by the address without its query).
     """
-    lines = line_classes(documents, fit_templates(pages, sample))
+    lines = line_classes(documents, fit_templates(pages))
     sure = lines.where(F.col("class") == BOILER).select("doc_id", "line_no")
     named = lines.where((F.col("class") == MAYBE) & F.col("site").isNotNull())
     address = F.regexp_replace(F.lower("url"), r"[?#].*$", "")
@@ -470,9 +463,9 @@ def boilerplate_lines(documents: DataFrame, pages: DataFrame, sample: int = PAGE
     return sure.unionByName(named.join(recurring, ["site", "hash"], "left_semi").select("doc_id", "line_no"))
 
 
-def main_content(documents: DataFrame, pages: DataFrame, sample: int = PAGE_SAMPLE) -> DataFrame:
+def main_content(documents: DataFrame, pages: DataFrame) -> DataFrame:
     """Documents with the text of their body only; the other columns stay."""
-    shared = share(documents.sparkSession, fit_templates(pages, sample))
+    shared = share(documents.sparkSession, fit_templates(pages))
     ours = F.pandas_udf(_body_text(shared), "string")
     return documents.withColumn("text", ours(F.col("text"), site(F.col("url"))))
 

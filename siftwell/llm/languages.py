@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftwell.llm.boilerplate import PAGE_SAMPLE, Lazy, Templates, fit_templates, share, site
+from siftwell.llm.boilerplate import Lazy, Templates, fit_templates, share, site
 from siftwell.llm.residue import body_of, is_residue
 from siftwell.llm.structure import MARK, NAMES, PROSE, line_profiles, structure
 
@@ -227,9 +227,9 @@ class Both:
         self.coder = Coder(value["model"])
 
 
-def segments(documents: DataFrame, pages: DataFrame, labels: DataFrame, sample: int = SAMPLE, page_sample: int = PAGE_SAMPLE) -> DataFrame:
+def segments(documents: DataFrame, pages: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """A row per paragraph of each body: its language and confidence, and whether the document is residue or no prose."""
-    templates = fit_templates(pages, page_sample)
+    templates = fit_templates(pages)
     model = train(documents, labels, templates, sample)
     if not model:
         return documents.sparkSession.createDataFrame([], SEGMENT_FIELDS)

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftwell.llm.boilerplate import BODY, PAGE_SAMPLE, Lazy, Templates, demote_scripts, fit_templates, scripts_notice, share, site
+from siftwell.llm.boilerplate import BODY, Lazy, Templates, demote_scripts, fit_templates, scripts_notice, share, site
 from siftwell.llm.structure import COMMON, VOWELS
 
 # Phrases of error pages, filler and demands for scripts, lower case.
@@ -194,9 +194,9 @@ def body_of(text: str | None, host: str | None, templates: Templates) -> list[tu
     return [(i, lines[i - 1]) for i, c in enumerate(classes, 1) if c >= BODY]
 
 
-def scored(documents: DataFrame, pages: DataFrame, sample: int = PAGE_SAMPLE) -> DataFrame:
+def scored(documents: DataFrame, pages: DataFrame) -> DataFrame:
     """The documents with ``covered`` and ``open_prose``, the characters of residue and of other prose."""
-    shared = share(documents.sparkSession, fit_templates(pages, sample))
+    shared = share(documents.sparkSession, fit_templates(pages))
 
     def run(texts: pd.Series, hosts: pd.Series) -> pd.DataFrame:
         t = Lazy.of(shared, Templates)
@@ -207,14 +207,14 @@ def scored(documents: DataFrame, pages: DataFrame, sample: int = PAGE_SAMPLE) ->
     return documents.withColumn("_r", f(F.col("text"), site(F.col("url")))).select(*[F.col(f"`{c}`") for c in documents.columns], F.col("_r.covered"), F.col("_r.open_prose"))
 
 
-def residue_documents(documents: DataFrame, pages: DataFrame, sample: int = PAGE_SAMPLE) -> DataFrame:
+def residue_documents(documents: DataFrame, pages: DataFrame) -> DataFrame:
     """doc_id of the documents that are residue."""
-    rows = scored(documents.select("doc_id", "text", "url"), pages, sample)
+    rows = scored(documents.select("doc_id", "text", "url"), pages)
     return rows.where((F.col("covered") > 0) & (F.col("covered") >= F.col("open_prose"))).select("doc_id")
 
 
-def without_residue(documents: DataFrame, pages: DataFrame, sample: int = PAGE_SAMPLE) -> DataFrame:
+def without_residue(documents: DataFrame, pages: DataFrame) -> DataFrame:
     """The documents that are not residue."""
-    rows = scored(documents.select("doc_id", "text", "url"), pages, sample)
+    rows = scored(documents.select("doc_id", "text", "url"), pages)
     kept = rows.where((F.col("covered") == 0) | (F.col("covered") < F.col("open_prose"))).select("doc_id")
     return documents.join(kept, "doc_id", "left_semi")

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftwell.llm.boilerplate import PAGE_SAMPLE, Lazy, Templates, fit_templates, share, site
+from siftwell.llm.boilerplate import Lazy, Templates, fit_templates, share, site
 from siftwell.llm.residue import body_of, is_residue
 from siftwell.llm.structure import NAMES, line_profiles, structure
 
@@ -34,16 +34,16 @@ def _profiles(shared):
     return run
 
 
-def profiles(documents: DataFrame, pages: DataFrame, sample: int = PAGE_SAMPLE) -> DataFrame:
+def profiles(documents: DataFrame, pages: DataFrame) -> DataFrame:
     """doc_id, characters of prose and of other structures in the body, profile, and whether it is residue."""
-    shared = share(documents.sparkSession, fit_templates(pages, sample))
+    shared = share(documents.sparkSession, fit_templates(pages))
     f = F.pandas_udf(_profiles(shared), FIELDS)
     return documents.select("doc_id", f(F.col("text"), site(F.col("url"))).alias("p")).select("doc_id", "p.*")
 
 
-def not_prose(documents: DataFrame, pages: DataFrame, sample: int = PAGE_SAMPLE) -> DataFrame:
+def not_prose(documents: DataFrame, pages: DataFrame) -> DataFrame:
     """doc_id of documents whose body is for the greater part a list, a table, machine output or junk."""
-    rows = profiles(documents, pages, sample)
+    rows = profiles(documents, pages)
     return rows.where((F.col("other_chars") > F.col("prose_chars")) & ~F.col("residue")).select("doc_id")
 
 
@@ -76,8 +76,8 @@ def counts(documents: DataFrame) -> DataFrame:
     )
 
 
-def statistics(documents: DataFrame, pages: DataFrame, sample: int = PAGE_SAMPLE) -> DataFrame:
+def statistics(documents: DataFrame, pages: DataFrame) -> DataFrame:
     """counts() with the profile of each document and whether it is natural prose."""
-    p = profiles(documents, pages, sample)
+    p = profiles(documents, pages)
     prose = (F.col("prose_chars") > 0) & (F.col("prose_chars") >= F.col("other_chars")) & ~F.col("residue")
     return counts(documents).join(p, "doc_id").withColumn("is_prose", prose).drop("residue")
