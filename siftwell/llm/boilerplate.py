@@ -4,7 +4,9 @@ A page is a tree: blocks, lines in a block, segments in a line, words in a
 segment.  Every element of that tree is hashed in several depths (the whole
 line, its segments, its first words, with numbers as open slots), the
 hashes are counted per host in Spark, and subtrees that recur across many pages
-outside the pages' own body are templates.  Documents then lose every line that
+of a host outside the pages' own body are its templates; those of several hosts
+hold everywhere but on hosts whose bodies have them.  Documents meet the
+templates of their own host in a stream, and lose every line that
 is covered by a template, by a block a template opens (teaser lists), or by a
 line that recurs on its own site.
 
@@ -19,14 +21,18 @@ import uuid
 from collections import defaultdict
 from functools import lru_cache
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftwell.plans.lineage import cut
+
 MIN_PAGES = 3  # pages that must share a subtree
 MAX_BODY_SHARE = 0.04  # share of body elements among the carriers of a template
+SITE_PART = 5_000  # documents of a site in one stream
 SITE_MIN_DOCS = 5
 SITE_MIN_SHARE = 20  # a line on one in so many documents of its site recurs
 
@@ -193,39 +199,116 @@ def _count(batches):
 
 
 def template_counts(pages: DataFrame) -> DataFrame:
-    """Subtree keys with pages outside and inside bodies and the hosts they occur on."""
-    rows = pages.where(F.col("html").isNotNull())
-    rows = rows.select(F.coalesce(site(F.col("url")), F.lit("")).alias("site"), "html")
+    """Subtree keys of each host, with the pages that carry them outside and inside their bodies; '' is no host."""
+    rows = pages.where(F.col("html").isNotNull()).select(F.coalesce(site(F.col("url")), F.lit("")).alias("site"), "html")
     counted = rows.mapInPandas(_count, "site string, key string, outside long, inside long")
-    per_host = counted.groupBy("site", "key").agg(F.sum("outside").alias("outside"), F.sum("inside").alias("inside"))
-    return per_host.groupBy("key").agg(F.sum("outside").alias("outside"), F.sum("inside").alias("inside"), F.max("outside").alias("most"), F.sum((F.col("outside") > 0).cast("int")).alias("hosts"))
+    return counted.groupBy("site", "key").agg(F.sum("outside").alias("outside"), F.sum("inside").alias("inside"))
+
+
+class Fitted(NamedTuple):
+    """Templates of each host (site, key, value), and those that many hosts share."""
+
+    sites: DataFrame
+    common: dict[str, int]
+
+
+def _is_opening(key):
+    return key.rlike("^[HF]\\S+( \\S+){1,2}$")
 
 
-def fit_templates(pages: DataFrame) -> dict[str, int]:
-    """Templates: keys recurring on pages of a host, or across hosts, and hardly in bodies.
+def fit_templates(pages: DataFrame) -> Fitted:
+    """Templates of each host: keys recurring on its pages and hardly in their bodies.
 
-    Positive for a template (the hosts it is on), negative for openings that
-    bodies alone have.  Every page is counted.
+    The value is 1 for a template, -1 for openings that bodies alone have, and
+    0 where the host has in its bodies what is a template elsewhere.  Keys that
+    recur on hosts, counted once for a host, hold for every document unless its
+    own host says otherwise.
     """
+    counts = cut(template_counts(pages))
     out, within = F.col("outside"), F.col("inside")
-    template = ((F.col("most") >= MIN_PAGES) | (F.col("hosts") >= MIN_PAGES)) & (within <= MAX_BODY_SHARE * out)
-    own = (within >= MIN_PAGES) & (out <= MAX_BODY_SHARE * within) & F.col("key").rlike("^[HF]\\S+( \\S+){1,2}$")
-    found = template_counts(pages).where(template | own)
-    return {r[0]: r[1] for r in found.select("key", F.when(template, F.greatest("hosts", F.lit(1))).otherwise(-1)).toLocalIterator()}
+    own = lambda a, b: (b >= MIN_PAGES) & (a <= MAX_BODY_SHARE * b) & _is_opening(F.col("key"))
+    template = lambda a, b: (a >= MIN_PAGES) & (b <= MAX_BODY_SHARE * a)
+    hosts = counts.groupBy("key").agg(F.sum((out > 0).cast("int")).alias("outside"), F.sum((within > 0).cast("int")).alias("inside"))
+    shared = hosts.where(template(out, within) | own(out, within)).select("key", F.when(template(out, within), 1).otherwise(-1).alias("value"))
+    common = dict(shared.toLocalIterator())
+    keys_ = pages.sparkSession.createDataFrame([(k,) for k, v in common.items() if v > 0], "key string")
+    hostly = counts.where(F.col("site") != "")
+    decided = hostly.where(template(out, within) | own(out, within)).select("site", "key", F.when(template(out, within), 1).otherwise(-1).alias("value"))
+    body = hostly.where((within > MAX_BODY_SHARE * out) & ~own(out, within)).join(F.broadcast(keys_), "key", "left_semi")
+    return Fitted(decided.unionByName(body.select("site", "key", F.lit(0).alias("value"))), common)
+
+
+def by_site(rows: DataFrame, fitted: Fitted, run, schema: str, value=None, make=None) -> DataFrame:
+    """mapInPandas of run(frame, templates of each row, what is shared) over rows with a ``site``, each with the templates of its site.
+
+    Rows meet the templates of their site in one sorted stream.  A large site is
+    spread over several streams, each of which gets its templates.
+    """
+    names = rows.columns
+    shared = share(rows.sparkSession, fitted.common if value is None else value)
+    make = make or Held
+    key = F.coalesce("site", F.lit(""))
+    parts = rows.groupBy(key.alias("_site")).agg(F.floor(F.count("*") / SITE_PART).cast("int").alias("_parts")).where("_parts > 0")
+    spread = rows.withColumn("_site", key).join(F.broadcast(parts), "_site", "left")
+    spread = spread.withColumn("_part", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("_parts") + 1).cast("int"), F.lit(0))).drop("_parts")
+    table = fitted.sites.withColumnRenamed("site", "_site").join(F.broadcast(parts), "_site", "left")
+    table = table.select("_site", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(0)))).alias("_part"), F.col("key").alias("_key"), F.col("value").alias("_value"))
+    stream = spread.unionByName(table, allowMissingColumns=True).repartition("_site", "_part").sortWithinPartitions("_site", "_part", F.col("_key").isNull())
+
+    def stream_run(batches):
+        held = Lazy.of(shared, make)
+        at, own, now = None, {}, None
+        for pdf in batches:
+            ts, docs = [], []
+            for i, (s, part, k, v) in enumerate(zip(pdf["_site"], pdf["_part"], pdf["_key"], pdf["_value"])):
+                if (s, part) != at:
+                    at, own, now = (s, part), {}, None
+                if isinstance(k, str):
+                    own[k] = int(v)
+                    continue
+                if now is None:
+                    now = held.templates.of_site(own) if own else held.templates
+                ts.append(now)
+                docs.append(i)
+            if docs:
+                frame = pdf[names].iloc[docs].reset_index(drop=True)
+                got = run(frame, ts, held)
+                if len(got):
+                    yield got
+
+    return stream.mapInPandas(stream_run, schema)
+
+
+class Layer:
+    """A common set with what a site adds to it and takes from it."""
+
+    __slots__ = ("common", "more", "less")
+
+    def __init__(self, common: set, more: set, less: set) -> None:
+        self.common, self.more, self.less = common, more, less
+
+    def __contains__(self, key) -> bool:
+        return key in self.more or (key in self.common and key not in self.less)
 
 
 class Templates:
     """Decides for the lines of a document whether a template covers them."""
 
     def __init__(self, table: dict[str, int]) -> None:
-        self.table = {k: v for k, v in table.items() if v > 0}
+        self.table = {k for k, v in table.items() if v > 0}
         self.own = {k[1:] for k, v in table.items() if v < 0}
-        self.maybe = {k[1:] for k in self.table if k[0] == "G" and " " not in k}
         self.cache: dict[str, tuple[bool, bool, bool]] = {}
         self.teasers = {tuple(t.split()) for t in TEASERS}
         self.headings = {tuple(t.split()) for t in HEADINGS}
         self.longest = max(map(len, self.teasers))
 
+    def of_site(self, own: dict[str, int]) -> Templates:
+        """These with what a site's own pages say."""
+        t = Templates({})
+        t.table = Layer(self.table, {k for k, v in own.items() if v > 0}, {k for k, v in own.items() if v <= 0})
+        t.own = Layer(self.own, {k[1:] for k, v in own.items() if v < 0}, {k[1:] for k, v in own.items() if v > 0})
+        return t
+
     def _covered(self, s: str) -> bool:
         w = words(bare(s))
         if not w:
@@ -297,7 +380,7 @@ class Templates:
                 i, n = i + 2, n + 1
             elif n >= 2 and len(w) - i < 5:
                 break
-            elif w[i] in self.maybe:
+            elif "G" + w[i] in self.table:
                 i += 1
             else:
                 return False
@@ -389,6 +472,13 @@ def demote_scripts(lines: list[str], classes: list[int], notice) -> list[int]:
     return classes
 
 
+class Held:
+    """The templates of a broadcast value."""
+
+    def __init__(self, value) -> None:
+        self.templates = Templates(value)
+
+
 class Lazy:
     """What a broadcast value is turned into, once per Python worker."""
 
@@ -418,31 +508,27 @@ def body_lines(text: str, host: str | None, templates: Templates) -> list[tuple[
     return [(i, lines[i - 1]) for i, c in enumerate(demote_scripts(lines, classes, scripts_notice), 1) if c >= BODY]
 
 
-def line_classes(documents: DataFrame, templates: dict[str, int]) -> DataFrame:
+def line_classes(documents: DataFrame, fitted: Fitted) -> DataFrame:
     """One row per visible line: doc_id, line_no, site, class and a hash of its letters."""
-    spark = documents.sparkSession
-    shared = share(spark, templates)
 
-    def run(batches):
-        t = Lazy.of(shared, Templates)
-        for pdf in batches:
-            ids, nos, sites, classes, hashes = [], [], [], [], []
-            for d, text, host in zip(pdf["doc_id"], pdf["text"], pdf["site"]):
-                if not text:
-                    continue
-                lines = text.split("\n")
-                found = demote_scripts(lines, t.classify(text, host), scripts_notice)
-                for i, c in enumerate(found):
-                    if c != BLANK and c != BODY:
-                        ids.append(d)
-                        nos.append(i + 1)
-                        sites.append(host)
-                        classes.append(c)
-                        hashes.append(xxhash.xxh64_intdigest("".join(WORD.findall(lines[i].lower()))) - (1 << 63) if c == MAYBE else 0)
-            yield pd.DataFrame({"doc_id": pd.Series(ids, dtype="int64"), "line_no": pd.Series(nos, dtype="int32"), "site": pd.Series(sites, dtype=object), "class": pd.Series(classes, dtype="int8"), "hash": pd.Series(hashes, dtype="int64")})
+    def run(pdf, ts, _):
+        ids, nos, sites, classes, hashes = [], [], [], [], []
+        for d, text, host, t in zip(pdf["doc_id"], pdf["text"], pdf["site"], ts):
+            if not text:
+                continue
+            lines = text.split("\n")
+            found = demote_scripts(lines, t.classify(text, host), scripts_notice)
+            for i, c in enumerate(found):
+                if c != BLANK and c != BODY:
+                    ids.append(d)
+                    nos.append(i + 1)
+                    sites.append(host)
+                    classes.append(c)
+                    hashes.append(xxhash.xxh64_intdigest("".join(WORD.findall(lines[i].lower()))) - (1 << 63) if c == MAYBE else 0)
+        return pd.DataFrame({"doc_id": pd.Series(ids, dtype="int64"), "line_no": pd.Series(nos, dtype="int32"), "site": pd.Series(sites, dtype=object), "class": pd.Series(classes, dtype="int8"), "hash": pd.Series(hashes, dtype="int64")})
 
     rows = documents.where(F.col("text").isNotNull()).select("doc_id", "text", site(F.col("url")).alias("site"))
-    return rows.mapInPandas(run, "doc_id long, line_no int, site string, class byte, hash long")
+    return by_site(rows, fitted, run, "doc_id long, line_no int, site string, class byte, hash long")
 
 
 def boilerplate_lines(documents: DataFrame, pages: DataFrame) -> DataFrame:
@@ -465,14 +551,11 @@ def boilerplate_lines(documents: DataFrame, pages: DataFrame) -> DataFrame:
 
 def main_content(documents: DataFrame, pages: DataFrame) -> DataFrame:
     """Documents with the text of their body only; the other columns stay."""
-    shared = share(documents.sparkSession, fit_templates(pages))
-    ours = F.pandas_udf(_body_text(shared), "string")
-    return documents.withColumn("text", ours(F.col("text"), site(F.col("url"))))
-
 
-def _body_text(shared):
-    def run(texts: pd.Series, hosts: pd.Series) -> pd.Series:
-        t = Lazy.of(shared, Templates)
-        return pd.Series([None if x is None else "\n".join(y for _, y in body_lines(x, h, t)) for x, h in zip(texts, hosts)], dtype=object)
+    def run(pdf, ts, _):
+        texts = ["\n".join(y for _, y in body_lines(x, h, t)) for x, h, t in zip(pdf["text"], pdf["site"], ts)]
+        return pd.DataFrame({"_id": pdf["doc_id"], "_body": pd.Series(texts, dtype=object)})
 
-    return run
+    rows = documents.where(F.col("text").isNotNull()).select("doc_id", "text", site(F.col("url")).alias("site"))
+    bodies = by_site(rows, fit_templates(pages), run, "_id long, _body string")
+    return documents.join(bodies, F.col("doc_id") == F.col("_id"), "left").withColumn("text", F.col("_body")).select(documents.columns)

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftwell.llm.boilerplate import Lazy, Templates, fit_templates, share, site
+from siftwell.llm.boilerplate import Templates, by_site, fit_templates, site
 from siftwell.llm.residue import body_of, is_residue
 from siftwell.llm.structure import MARK, NAMES, PROSE, line_profiles, structure
 
@@ -154,18 +154,13 @@ def sentence_lines(body: list[tuple[int, str]]) -> list[tuple[int, str]]:
     return [b for b, p in zip(body, found) if p >= 0 and NAMES[p] in PROSE]
 
 
-def _training(shared):
-    def run(batches):
-        t = Lazy.of(shared, Templates)
-        for pdf in batches:
-            rows = []
-            for text, host, lang in zip(pdf["text"], pdf["site"], pdf["code"]):
-                for _, x in sentence_lines(body_of(text, host, t)):
-                    if len(x) > 60:
-                        rows.append((x[:400], lang))
-            yield pd.DataFrame(rows, columns=["line", "code"])
-
-    return run
+def _training(pdf, ts, _):
+    rows = []
+    for text, host, lang, t in zip(pdf["text"], pdf["site"], pdf["code"], ts):
+        for _, x in sentence_lines(body_of(text, host, t)):
+            if len(x) > 60:
+                rows.append((x[:400], lang))
+    return pd.DataFrame(rows, columns=["line", "code"])
 
 
 def train(documents: DataFrame, labels: DataFrame, templates, sample: int = SAMPLE) -> dict:
@@ -177,9 +172,8 @@ def train(documents: DataFrame, labels: DataFrame, templates, sample: int = SAMP
     for (code,) in labels.select("lang").distinct().collect():
         part = labelled.where(F.col("code") == code).orderBy("h").limit(per)
         ids = part if ids is None else ids.unionByName(part)
-    rows = documents.join(F.broadcast(ids.select("doc_id", "code")), "doc_id").select("text", site(F.col("url")).alias("site"), "code")
-    shared = share(documents.sparkSession, templates)
-    lines = rows.mapInPandas(_training(shared), "line string, code string").toPandas()
+    rows = documents.join(F.broadcast(ids.select("doc_id", "code")), "doc_id").select("doc_id", "text", site(F.col("url")).alias("site"), "code")
+    lines = by_site(rows, templates, _training, "line string, code string").toPandas()
     chosen: list[tuple[str, str]] = []
     for code, part in lines.sort_values(["code", "line"]).groupby("code"):
         part = part.sample(min(len(part), MOST_LINES), random_state=1)
@@ -190,33 +184,28 @@ def train(documents: DataFrame, labels: DataFrame, templates, sample: int = SAMP
 SEGMENT_FIELDS = "doc_id long, line_no int, lang string, confidence double, ambiguous boolean, junk boolean"
 
 
-def _segments(shared):
-    def run(batches):
-        value = Lazy.of(shared, Both)
-        for pdf in batches:
-            ids, nos, texts, junk = [], [], [], []
-            bodies = [body_of(x, h, value.templates) if x else [] for x, h in zip(pdf["text"], pdf["site"])]
-            profiles = line_profiles([x for b in bodies for _, x in b])[0]
-            at = 0
-            for d, b in zip(pdf["doc_id"], bodies):
-                own = profiles[at : at + len(b)]
-                at += len(b)
-                lines = [x for _, x in b]
-                prose, other, _ = structure(lines, own)
-                out = bool(b) and (other > prose or is_residue(lines))
-                for (no, x), p in zip(b, own):
-                    if p >= 0 and NAMES[p] in PROSE and not MARK.match(x):
-                        ids.append(d)
-                        nos.append(no)
-                        texts.append(x)
-                        junk.append(out)
-            margins, n = value.coder.margins(texts) if texts else (np.zeros((0, BITS)), np.zeros(0))
-            best, sure = value.coder.decode(margins) if texts else (np.zeros(0, int), np.zeros(0))
-            langs = np.array(value.coder.langs, dtype=object)
-            ok = (n >= 3) & ((sure >= AMBIGUOUS) | (n >= 8))
-            yield pd.DataFrame({"doc_id": pd.Series(ids, dtype="int64"), "line_no": pd.Series(nos, dtype="int32"), "lang": pd.Series(langs[best] if len(texts) else [], dtype=object), "confidence": pd.Series(np.round(sure, 4), dtype="float64"), "ambiguous": pd.Series(sure < AMBIGUOUS, dtype=bool), "junk": pd.Series(junk, dtype=bool)})[ok]
-
-    return run
+def _segments(pdf, ts, value):
+    ids, nos, texts, junk = [], [], [], []
+    bodies = [body_of(x, h, t) if x else [] for x, h, t in zip(pdf["text"], pdf["site"], ts)]
+    profiles = line_profiles([x for b in bodies for _, x in b])[0]
+    at = 0
+    for d, b in zip(pdf["doc_id"], bodies):
+        own = profiles[at : at + len(b)]
+        at += len(b)
+        lines = [x for _, x in b]
+        prose, other, _ = structure(lines, own)
+        out = bool(b) and (other > prose or is_residue(lines))
+        for (no, x), p in zip(b, own):
+            if p >= 0 and NAMES[p] in PROSE and not MARK.match(x):
+                ids.append(d)
+                nos.append(no)
+                texts.append(x)
+                junk.append(out)
+    margins, n = value.coder.margins(texts) if texts else (np.zeros((0, BITS)), np.zeros(0))
+    best, sure = value.coder.decode(margins) if texts else (np.zeros(0, int), np.zeros(0))
+    langs = np.array(value.coder.langs, dtype=object)
+    ok = (n >= 3) & ((sure >= AMBIGUOUS) | (n >= 8))
+    return pd.DataFrame({"doc_id": pd.Series(ids, dtype="int64"), "line_no": pd.Series(nos, dtype="int32"), "lang": pd.Series(langs[best] if len(texts) else [], dtype=object), "confidence": pd.Series(np.round(sure, 4), dtype="float64"), "ambiguous": pd.Series(sure < AMBIGUOUS, dtype=bool), "junk": pd.Series(junk, dtype=bool)})[ok]
 
 
 class Both:
@@ -233,9 +222,8 @@ def segments(documents: DataFrame, pages: DataFrame, labels: DataFrame, sample:
     model = train(documents, labels, templates, sample)
     if not model:
         return documents.sparkSession.createDataFrame([], SEGMENT_FIELDS)
-    shared = share(documents.sparkSession, {"templates": templates, "model": model})
     rows = documents.where(F.col("text").isNotNull()).select("doc_id", "text", site(F.col("url")).alias("site"))
-    return rows.mapInPandas(_segments(shared), SEGMENT_FIELDS)
+    return by_site(rows, templates, _segments, SEGMENT_FIELDS, {"templates": templates.common, "model": model}, Both)
 
 
 def found(documents: DataFrame, pages: DataFrame, labels: DataFrame, **kw) -> DataFrame:

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftwell.llm.boilerplate import BODY, Lazy, Templates, demote_scripts, fit_templates, scripts_notice, share, site
+from siftwell.llm.boilerplate import BODY, Templates, by_site, demote_scripts, fit_templates, scripts_notice, site
 from siftwell.llm.structure import COMMON, VOWELS
 
 # Phrases of error pages, filler and demands for scripts, lower case.
@@ -195,16 +195,14 @@ def body_of(text: str | None, host: str | None, templates: Templates) -> list[tu
 
 
 def scored(documents: DataFrame, pages: DataFrame) -> DataFrame:
-    """The documents with ``covered`` and ``open_prose``, the characters of residue and of other prose."""
-    shared = share(documents.sparkSession, fit_templates(pages))
+    """doc_id, ``covered`` and ``open_prose`` of the documents, the characters of residue and of other prose."""
 
-    def run(texts: pd.Series, hosts: pd.Series) -> pd.DataFrame:
-        t = Lazy.of(shared, Templates)
-        rows = [residue([x for _, x in body_of(text, host, t)]) if text else (0, 0) for text, host in zip(texts, hosts)]
-        return pd.DataFrame(rows, columns=["covered", "open_prose"])
+    def run(pdf, ts, _):
+        rows = [(d, *(residue([x for _, x in body_of(text, host, t)]) if text else (0, 0))) for d, text, host, t in zip(pdf["doc_id"], pdf["text"], pdf["site"], ts)]
+        return pd.DataFrame(rows, columns=["doc_id", "covered", "open_prose"])
 
-    f = F.pandas_udf(run, "covered int, open_prose int")
-    return documents.withColumn("_r", f(F.col("text"), site(F.col("url")))).select(*[F.col(f"`{c}`") for c in documents.columns], F.col("_r.covered"), F.col("_r.open_prose"))
+    rows = documents.select("doc_id", "text", site(F.col("url")).alias("site"))
+    return by_site(rows, fit_templates(pages), run, "doc_id long, covered int, open_prose int")
 
 
 def residue_documents(documents: DataFrame, pages: DataFrame) -> DataFrame:

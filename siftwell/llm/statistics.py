@@ -10,35 +10,31 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftwell.llm.boilerplate import Lazy, Templates, fit_templates, share, site
+from siftwell.llm.boilerplate import by_site, fit_templates, site
 from siftwell.llm.residue import body_of, is_residue
 from siftwell.llm.structure import NAMES, line_profiles, structure
 
 FIELDS = "prose_chars int, other_chars int, profile string, residue boolean"
 
 
-def _profiles(shared):
-    def run(texts: pd.Series, hosts: pd.Series) -> pd.DataFrame:
-        t = Lazy.of(shared, Templates)
-        bodies = [[y for _, y in body_of(x, h, t)] if x else [] for x, h in zip(texts, hosts)]
-        flat = [y for b in bodies for y in b]
-        profiles = line_profiles(flat)[0]
-        rows, at = [], 0
-        for b in bodies:
-            prose, other, top = structure(b, profiles[at : at + len(b)])
-            at += len(b)
-            name = None if not prose and not other else NAMES[top] if other > prose else "prose"
-            rows.append((prose, other, name, is_residue(b)))
-        return pd.DataFrame(rows, columns=["prose_chars", "other_chars", "profile", "residue"])
-
-    return run
+def _profiles(pdf, ts, _):
+    bodies = [body_of(x, h, t) if x else [] for x, h, t in zip(pdf["text"], pdf["site"], ts)]
+    bodies = [[y for _, y in b] for b in bodies]
+    flat = [y for b in bodies for y in b]
+    profiles = line_profiles(flat)[0]
+    rows, at = [], 0
+    for d, b in zip(pdf["doc_id"], bodies):
+        prose, other, top = structure(b, profiles[at : at + len(b)])
+        at += len(b)
+        name = None if not prose and not other else NAMES[top] if other > prose else "prose"
+        rows.append((d, prose, other, name, is_residue(b)))
+    return pd.DataFrame(rows, columns=["doc_id", "prose_chars", "other_chars", "profile", "residue"])
 
 
 def profiles(documents: DataFrame, pages: DataFrame) -> DataFrame:
     """doc_id, characters of prose and of other structures in the body, profile, and whether it is residue."""
-    shared = share(documents.sparkSession, fit_templates(pages))
-    f = F.pandas_udf(_profiles(shared), FIELDS)
-    return documents.select("doc_id", f(F.col("text"), site(F.col("url"))).alias("p")).select("doc_id", "p.*")
+    rows = documents.select("doc_id", "text", site(F.col("url")).alias("site"))
+    return by_site(rows, fit_templates(pages), _profiles, f"doc_id long, {FIELDS}")
 
 
 def not_prose(documents: DataFrame, pages: DataFrame) -> DataFrame:

@@ -8,5 +8,32 @@ PAGES = "page_id long, url string, html string"
 def test_small_hosts_keep_their_templates_among_many_pages(spark):
     many = spark.range(30_200).selectExpr("id AS page_id", "concat('http://h', id, '.example/') AS url", "'<p>x</p>' AS html")
     few = [(100_000 + i, f"http://small{i // 3}.example/", f"<footer>imprint number {'abcdefghijklmnopqrst'[i // 3]} of our house</footer>") for i in range(60)]
-    table = boilerplate.fit_templates(many.unionByName(spark.createDataFrame(few, PAGES)))
-    assert all(table.get(f"Fimprint number {x} of our house", 0) > 0 for x in "abcdefghijklmnopqrst")
+    fitted = boilerplate.fit_templates(many.unionByName(spark.createDataFrame(few, PAGES)))
+    found = {r.key for r in fitted.sites.where("value > 0").collect()}
+    assert {f"Fimprint number {x} of our house" for x in "abcdefghijklmnopqrst"} <= found
+
+
+def host_pages(spark):
+    notice = "Every order is packed by hand in our barn"
+    rows = [(i, "http://one.example/", f"<footer>{notice}</footer><p>{'abc'[i]} story</p>") for i in range(3)]
+    rows += [(10 + i, "http://two.example/", "<p>Another story</p>") for i in range(3)]
+    menu = "Subscribe to the weekly letter"
+    rows += [(20 + i, f"http://many{i}.example/", f"<footer>{menu}</footer>") for i in range(30)]
+    rows += [(60 + i, "http://big.example/", f"<p>{menu}</p>") for i in range(40)]
+    return notice, menu, spark.createDataFrame(rows, PAGES)
+
+
+def test_templates_hold_on_their_own_host(spark):
+    notice, menu, pages = host_pages(spark)
+    sites = ["one.example", "two.example", "big.example", "new.example"]
+    rows = [(i, f"{notice}\n{menu}", f"http://{s}/x") for i, s in enumerate(sites)] + [(9, f"{notice}\n{menu}", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, url string")
+    found = {(r.doc_id, r.line_no) for r in boilerplate.boilerplate_lines(docs, pages).collect()}
+    assert found == {(0, 1), (0, 2), (1, 2), (3, 2), (9, 2)}
+
+
+def test_a_large_site_is_spread_with_its_templates(spark, monkeypatch):
+    monkeypatch.setattr(boilerplate, "SITE_PART", 2)
+    notice, _, pages = host_pages(spark)
+    docs = spark.createDataFrame([(i, notice, "http://one.example/x") for i in range(9)], "doc_id long, text string, url string")
+    assert {r.doc_id for r in boilerplate.boilerplate_lines(docs, pages).collect()} == set(range(9))
