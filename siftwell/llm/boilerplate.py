@@ -73,7 +73,7 @@ HEADINGS = (
 )
 
 
-LONG, HEAD = 160, 80
+LONG = 160  # lines that are longer are not kept in the cache
 DIGIT = re.compile(r"\d")
 
 
@@ -335,11 +335,6 @@ class Templates:
 
     def _line(self, raw: str) -> tuple[bool, bool, bool]:
         s = raw.replace("\xa0", " ").replace("\r", " ").strip()
-        if len(s) > LONG:  # nothing but a line that opens like a template can be one
-            w = words(LEAD.sub("", s[:HEAD]))[:-1]
-            t = self.table
-            if len(w) > 2 and w[0] != "©" and f"H{w[0]} {w[1]}" not in t and f"H{w[0]} {w[1]} {w[2]}" not in t and "H" + " ".join(w[:4]) not in t and not TAGS.search(s):
-                return False, False, False
         b = bare(s)
         w = tuple(words(b))
         if not w:
@@ -367,8 +362,8 @@ class Templates:
         sentences = SENTENCE.split(b)
         if len(sentences) == 1:
             return self._covered(b), False, heading
-        open_words = sum(0 if self._covered(x) else len(words(x)) for x in sentences)
-        return (self._covered(sentences[0]) and open_words < 5) or self._whole(w), False, heading
+        covered = self._whole(w) or (self._covered(sentences[0]) and sum(0 if self._covered(x) else len(words(x)) for x in sentences) < 5)
+        return covered, False, heading
 
     def _menu(self, w: tuple) -> bool:
         """Whether most of the words are entries of a menu, one after another."""
@@ -538,7 +533,7 @@ def boilerplate_lines(documents: DataFrame, pages: DataFrame) -> DataFrame:
     well where it recurs on other pages of its own site (pages that are copies
     of each other count once, by the address without its query).
     """
-    lines = line_classes(documents, fit_templates(pages))
+    lines = cut(line_classes(documents, fit_templates(pages)))  # read three times
     sure = lines.where(F.col("class") == BOILER).select("doc_id", "line_no")
     named = lines.where((F.col("class") == MAYBE) & F.col("site").isNotNull())
     address = F.regexp_replace(F.lower("url"), r"[?#].*$", "")

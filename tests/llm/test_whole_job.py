@@ -37,3 +37,15 @@ def test_a_large_site_is_spread_with_its_templates(spark, monkeypatch):
     notice, _, pages = host_pages(spark)
     docs = spark.createDataFrame([(i, notice, "http://one.example/x") for i in range(9)], "doc_id long, text string, url string")
     assert {r.doc_id for r in boilerplate.boilerplate_lines(docs, pages).collect()} == set(range(9))
+
+
+LEGAL = "The editors of this paper ask readers to note that all prices are without any obligation and that orders are only taken once a written reply has been sent to the customer by post or courier"
+MENU = "Harbour Council Theatre Markets Gardens Football Schools Letters Opinion Weather Transport Recipes Business Science Cinema Museums Travel Motoring Property Obituaries Crosswords"
+
+
+def test_long_lines_are_looked_up_whole(spark):
+    assert len(LEGAL) > boilerplate.LONG and len(MENU) > boilerplate.LONG
+    rows = [(i, "http://a.example/", f"<ul>{''.join(f'<li class=m>{x}</li>' for x in MENU.split())}</ul><p>The editors of this paper met {x}.</p><footer>{LEGAL}</footer>") for i, x in enumerate(("early", "late", "twice"))]
+    docs = spark.createDataFrame([(1, f"{MENU}\nThe editors of this paper met again.\n{LEGAL}", "http://a.example/x")], "doc_id long, text string, url string")
+    found = {r.line_no for r in boilerplate.boilerplate_lines(docs, spark.createDataFrame(rows, PAGES)).collect()}
+    assert found == {1, 3}
