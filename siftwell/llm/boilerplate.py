@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftwell.functions import text as T
 from siftwell.plans.lineage import cut
 
 MIN_PAGES = 3  # pages that must share a subtree
@@ -545,12 +546,8 @@ def boilerplate_lines(documents: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def main_content(documents: DataFrame, pages: DataFrame) -> DataFrame:
-    """Documents with the text of their body only; the other columns stay."""
-
-    def run(pdf, ts, _):
-        texts = ["\n".join(y for _, y in body_lines(x, h, t)) for x, h, t in zip(pdf["text"], pdf["site"], ts)]
-        return pd.DataFrame({"_id": pdf["doc_id"], "_body": pd.Series(texts, dtype=object)})
-
-    rows = documents.where(F.col("text").isNotNull()).select("doc_id", "text", site(F.col("url")).alias("site"))
-    bodies = by_site(rows, fit_templates(pages), run, "_id long, _body string")
-    return documents.join(bodies, F.col("doc_id") == F.col("_id"), "left").withColumn("text", F.col("_body")).select(documents.columns)
+    """Documents without blank lines and those of boilerplate_lines(); the other columns stay."""
+    gone = boilerplate_lines(documents, pages).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("line_no").alias("_gone"))
+    kept = F.filter(F.split("text", "\n", -1), lambda x, i: (T.strip(x) != "") & ~F.coalesce(F.array_contains("_gone", i + 1), F.lit(False)))
+    joined = documents.join(gone, F.col("doc_id") == F.col("_id"), "left")
+    return joined.withColumn("text", F.array_join(kept, "\n")).select(documents.columns)

@@ -49,3 +49,12 @@ def test_long_lines_are_looked_up_whole(spark):
     docs = spark.createDataFrame([(1, f"{MENU}\nThe editors of this paper met again.\n{LEGAL}", "http://a.example/x")], "doc_id long, text string, url string")
     found = {r.line_no for r in boilerplate.boilerplate_lines(docs, spark.createDataFrame(rows, PAGES)).collect()}
     assert found == {1, 3}
+
+
+def test_main_content_is_what_boilerplate_lines_leave(spark):
+    name = "Reporter Jane: more of this town"
+    rows = [(i, f"{name}\nStory {'abcdef'[i]} of the harbour was long.\n\n", f"http://a.example/{i}") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, url string")
+    pages = spark.createDataFrame([], PAGES)
+    assert {(r.doc_id, r.line_no) for r in boilerplate.boilerplate_lines(docs, pages).collect()} == {(i, 1) for i in range(6)}
+    assert {r.text for r in boilerplate.main_content(docs, pages).collect()} == {f"Story {x} of the harbour was long." for x in "abcdef"}
