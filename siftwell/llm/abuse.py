@@ -2,19 +2,22 @@
 
 A window of a sentence is the mean of the vectors of its subwords: character
 n-grams of its words, the words and word pairs.  Vectors and softmax are trained
-jointly in numpy on a bounded sample of labelled documents.  Labels are of whole
-documents, so the window that speaks most for the label stands for a document
-labelled toxic, and is chosen anew in each round; the windows of clean documents
-that score highest are taken as counter-examples, so that mentions and reports
-are told apart from abuse.  As the model is linear after the mean, each subword
-adds one number, and a document is scored by its highest window.
+jointly in numpy.  Labels are of whole documents, so the window that speaks most
+for the label stands for a document labelled toxic.  A first model is fitted on
+a bounded sample of labelled documents, which holds far more toxic ones than
+there are; its windows are then looked for in all labelled documents in Spark,
+those that mostly clean documents have become counter-examples, and the model
+is fitted anew (MINED times).  So the natural rate, and every sentence that is
+common on clean pages, bear on the result at any size.  As the model is linear
+after the mean, each subword adds one number, and a document is scored by its
+highest window; sentences of one word are windows too.
 
 Disguises are undone before: letters of other scripts in a word, digits and
 signs for letters, spaced or dotted letters, drawn-out letters; masked letters
 remain as a star, and the n-grams around it speak.
 
 Null and empty texts score 0.  Conflicting labels go to the majority, ties and
-nulls are left out.
+nulls are left out; without a toxic and a clean document every score is low.
 """
 
 from __future__ import annotations
@@ -30,19 +33,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftwell.llm.boilerplate import Lazy, share, site
+from siftwell.plans.lineage import cut
 
 TOXIC, CLEAN = 1200, 4000  # documents of either label the model is fitted on, chosen by hash
 BUCKETS = 1 << 15
 DIM = 8
 WINDOW = 7  # words
 STRIDE = 1
-ROUNDS = 3
+MINED = 2  # times the model is fitted anew with counter-examples from all labelled documents
 EPOCHS = 4
 THRESHOLD = 0.75
-SHORT = 3  # words of the shortest sentence that is scored
+FLOOR = -2.0  # logit from which a window can be a counter-example
 RATIO = 6
 LEAST = 16.0  # evidence a window must have to speak for its document's label
-COUNTERS = 4000  # clean sentences that are fitted
+COUNTERS = 4000  # clean sentences of the sample that are fitted
+MOST = 6000  # counter-examples fitted of a round: the windows with the highest logits
+KEPT = 120  # letters of the longest line whose score is kept for when it comes again
 
 # Letters of other scripts and signs that stand for Latin letters.
 LOOKALIKE = str.maketrans("аеорсухіјԁѕһԛԝтпмкнвАЕОРСХ", "aeopcyxijdshqwtnmkhbaeopcx")
@@ -120,6 +126,7 @@ class Scorer:
         self.bias = float(model["bias"])
         self.words: dict[str, float] = {}
         self.pairs: dict[tuple[str, str], float] = {}
+        self.lines: dict[str, float] = {}  # highest logit of lines that may come again
 
     def word(self, w: str) -> float:
         v = self.words.get(w)
@@ -164,15 +171,22 @@ class Scorer:
 
     def texts(self, texts: list) -> np.ndarray:
         """Probability of the worst window of each text; 0 without one."""
+        if len(self.lines) > 200_000:
+            self.lines.clear()
+        split = [t.split("\n") if t else [] for t in texts]
+        new = list({x: None for t in split for x in t if x not in self.lines})
         sents, owner = [], []
-        for i, t in enumerate(texts):
-            if t:
-                own = [s for s in sentences(t) if len(s) >= SHORT]
-                sents += own
-                owner += [i] * len(own)
-        out = np.full(len(texts), -np.inf)
+        for i, x in enumerate(new):
+            own = sentences(x)
+            sents += own
+            owner += [i] * len(own)
+        top = np.full(len(new), -np.inf)
         if sents:
-            np.maximum.at(out, np.array(owner), self.best(sents)[0])
+            np.maximum.at(top, np.array(owner), self.best(sents)[0])
+        found = dict(zip(new, top.tolist()))
+        known = self.lines
+        out = np.array([max([known[x] if x in known else found[x] for x in t], default=-np.inf) for t in split])
+        known.update((x, v) for x, v in found.items() if len(x) < KEPT)
         return 1 / (1 + np.exp(-np.clip(out, -50, 50))) * (out > -np.inf)
 
 
@@ -257,71 +271,100 @@ def _evidence(pos: list, neg: list) -> dict:
     return out
 
 
-def fit(rows: list[tuple[str, int]]) -> dict:
-    """The model from (text, toxic) rows."""
-    pos = [[s for s in sentences(t) if len(s) >= SHORT] for t, y in rows if y and t]
-    neg = [[s for s in sentences(t) if len(s) >= SHORT] for t, y in rows if not y and t]
-    pos, neg = [d for d in pos if d], [d for d in neg if d]
-    if not pos or not neg:
-        return {"numbers": np.zeros(BUCKETS, np.float32), "bias": -4.0}
-    rng = np.random.default_rng(5)
-    known = _evidence(pos, neg)
-
-    def spoken(s: list[str]) -> float:
-        return sum(sorted((known[x] for x in _spans(s) if x in known), reverse=True)[:2])
-
-    def pick(d):
-        best = max((w for s in d for w in _windows(s)), key=spoken)
-        return spoken(best), best
-
-    # Sentences that clean documents have as often, such as notices of a site, speak for nothing.
-    clean_of = Counter(t for d in neg for t in {tuple(x) for x in d})
-    toxic_of = Counter(t for d in pos for t in {tuple(x) for x in d})
-    pos = [[x for x in d if clean_of[tuple(x)] < max(2, toxic_of[tuple(x)])] for d in pos]
-    pos = [d for d in pos if d] or [[["none"] * SHORT]]
-    ranked = [pick(d) for d in pos]
-    chosen = [w for x, w in ranked if x >= LEAST] or [w for _, w in ranked]
-    every = [list(s) for s in sorted({tuple(s) for d in neg for s in d})]
-    every = [every[i] for i in rng.permutation(len(every))]
-    clean = [w for s in every[:COUNTERS] for w in _windows(s)[:: WINDOW - 2]]
-    hard: list[list[str]] = []
-    model: dict = {}
-    for r in range(ROUNDS):
-        counter = clean + hard
-        weight = min(max(1.0, 0.3 * len(counter) / max(len(chosen), 1)), 8.0)
-        model = _train(chosen + counter, [1] * len(chosen) + [0] * len(counter), [weight] * len(chosen) + [1.0] * len(clean) + [2.0] * len(hard), seed=r)
-        if r == ROUNDS - 1:
-            break
-        scorer = Scorer(model)
-        flat = [s for d in pos for s in d]
-        tops, begins = scorer.best(flat)
-        size = np.array([len(d) for d in pos])
-        starts = np.cumsum(size) - size
-        # A document labelled toxic whose worst window looks clean has a wrong label.
-        worst = [(lambda k: (tops[k], flat[k][begins[k] : begins[k] + WINDOW]))(a + int(tops[a : a + n].argmax())) for a, n in zip(starts, size)]
-        chosen = [w for x, w in worst if x > 0 and spoken(w) >= LEAST] or [w for _, w in worst]
-        said = {tuple(w) for w in chosen}
-        tops, begins = scorer.best(every)
-        marks = np.argsort(-tops, kind="stable")[: 2 * len(chosen) + 300]
-        hard = [list(w) for w in {tuple(every[k][begins[k] : begins[k] + WINDOW]): None for k in marks} if w not in said]
-    return model
-
-
-def labelled(documents: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = CLEAN) -> DataFrame:
-    """(text, toxic) of labelled documents, about ``toxic`` and ``clean`` of each label, chosen by hash."""
+class Sample:
+    """What is fitted of the sample: the windows that may speak for a toxic label, and clean windows."""
+
+    def __init__(self, rows: list[tuple[str, int]]) -> None:
+        pos = [d for d in (sentences(t) for t, y in rows if y and t) if d]
+        neg = [d for d in (sentences(t) for t, y in rows if not y and t) if d]
+        self.known = _evidence(pos, neg)
+        # Sentences that clean documents have as often, such as notices of a site, speak for nothing.
+        clean_of = Counter(t for d in neg for t in {tuple(x) for x in d})
+        toxic_of = Counter(t for d in pos for t in {tuple(x) for x in d})
+        pos = [[x for x in d if clean_of[tuple(x)] < max(2, toxic_of[tuple(x)])] for d in pos]
+        self.pos = [d for d in pos if d]
+        ranked = [(self.spoken(w), w) for w in (max((w for s in d for w in _windows(s)), key=self.spoken) for d in self.pos)]
+        self.chosen = [w for x, w in ranked if x >= LEAST] or [w for _, w in ranked]
+        every = sorted({tuple(s) for d in neg for s in d})
+        order = np.random.default_rng(5).permutation(len(every))[:COUNTERS]
+        self.clean = [w for i in order for w in _windows(list(every[i]))[:: WINDOW - 2]]
+
+    def spoken(self, s: list[str]) -> float:
+        """Evidence of a window: its two strongest spans."""
+        return sum(sorted((self.known[x] for x in _spans(s) if x in self.known), reverse=True)[:2])
+
+    def choose(self, model: dict, counters: dict) -> None:
+        """Chooses the windows that speak for the toxic labels anew; a document whose worst window looks clean has a wrong label."""
+        scorer, chosen = Scorer(model), []
+        for d in self.pos:
+            tops, begins = scorer.best(d)
+            worst = [(t, s[b : b + WINDOW]) for t, s, b in zip(tops, d, begins) if tuple(s[b : b + WINDOW]) not in counters]
+            if worst:
+                t, w = max(worst, key=lambda x: x[0])
+                if t > 0 and self.spoken(w) >= LEAST:
+                    chosen.append(w)
+        self.chosen = chosen or self.chosen
+
+    def fit(self, counters: dict[tuple, int], seed: int) -> dict:
+        """The model; a counter-example weighs by how many clean documents have it."""
+        if not self.chosen or not self.clean:
+            return {"numbers": np.zeros(BUCKETS, np.float32), "bias": -4.0}
+        hard = [list(w) for w in counters]
+        weight = [4.0 if counters else 8.0] * len(self.chosen) + [1.0] * len(self.clean) + [1 + float(np.log(n)) for n in counters.values()]
+        return _train(self.chosen + self.clean + hard, [1] * len(self.chosen) + [0] * (len(self.clean) + len(hard)), weight, seed=seed)
+
+
+def labelled(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, text, y) of the documents with a label, by the majority of their rows."""
     votes = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.avg("toxic").alias("v")).where("v <> 0.5")
     votes = votes.select("doc_id", (F.col("v") > 0.5).cast("int").alias("y"))
-    sizes = {r["y"]: r["count"] for r in votes.groupBy("y").count().collect()}
-    part = {y: min(1.0, n / max(sizes.get(y, 0), 1)) for y, n in ((1, toxic), (0, clean))}
-    # Chosen by hash, so that no task sends more than its part of the sample.
-    bar = F.when(F.col("y") == 1, int(part[1] * (1 << 30))).otherwise(int(part[0] * (1 << 30)))
-    chosen = votes.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < bar)
-    return documents.where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")
+    return documents.where(F.col("text").isNotNull()).select("doc_id", "text").join(votes, "doc_id")
 
 
-def train(documents: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = CLEAN) -> dict:
-    rows = labelled(documents, labels, toxic, clean).orderBy("doc_id").collect()
-    return fit([(r["text"], r["y"]) for r in rows])
+def sample_of(rows: DataFrame, toxic: int = TOXIC, clean: int = CLEAN) -> DataFrame:
+    """About ``toxic`` and ``clean`` rows of each label, chosen by hash, so that no task sends more than its part."""
+    sizes = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
+    part = {y: min(1.0, n / max(sizes.get(y, 0), 1)) for y, n in ((1, toxic), (0, clean))}
+    bar = F.when(F.col("y") == 1, int(part[1] * (1 << 30))).otherwise(int(part[0] * (1 << 30)))
+    return rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < bar)
+
+
+def counter_examples(rows: DataFrame, model: dict, most: int = MOST) -> dict[tuple, int]:
+    """Windows with the highest logits that more clean than toxic documents have, with the number of clean ones."""
+    shared = share(rows.sparkSession, model)
+
+    def run(batches):
+        scorer = Lazy.of(shared, Scorer)
+        for pdf in batches:
+            found, ys, logits = [], [], []
+            for text, y in zip(pdf["text"], pdf["y"]):
+                sents = sentences(text) if text else []
+                if not sents:
+                    continue
+                tops, begins = scorer.best(sents)
+                own = {" ".join(sents[k][begins[k] : begins[k] + WINDOW]): float(tops[k]) for k in np.flatnonzero(tops > FLOOR)}
+                found += own.keys()
+                logits += own.values()
+                ys += [y] * len(own)
+            yield pd.DataFrame({"window": pd.Series(found, dtype=object), "y": pd.Series(ys, dtype="int32"), "logit": pd.Series(np.round(logits, 3), dtype="float64")})
+
+    windows = rows.select("text", "y").mapInPandas(run, "window string, y int, logit double")
+    per = windows.groupBy("window").agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("clean"), F.max("logit").alias("logit")).where("clean > toxic")
+    top = per.orderBy((F.col("logit") + F.log1p("clean")).desc(), "window").limit(most)
+    return {tuple(r["window"].split(" ")): int(r["clean"]) for r in top.collect()}
+
+
+def train(documents: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = CLEAN, mined: int = MINED) -> dict:
+    """The model of the sample, fitted anew with counter-examples from all labelled documents."""
+    rows = cut(labelled(documents, labels))  # read once for the sample, once for each round
+    sample = Sample([(r["text"], r["y"]) for r in sample_of(rows, toxic, clean).orderBy("doc_id").collect()])
+    model = sample.fit({}, 0)
+    counters: dict[tuple, int] = {}
+    for r in range(mined if sample.chosen and sample.clean else 0):
+        counters = counter_examples(rows, model) | counters
+        sample.choose(model, counters)
+        model = sample.fit(counters, r + 1)
+    return model
 
 
 def scores(documents: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = CLEAN) -> DataFrame:

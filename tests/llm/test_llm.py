@@ -260,7 +260,12 @@ def test_abuse_held_out(spark):
     clean = lambda: " ".join(rng.choice("the harbour council bridge opened a new garden for every reader of our town today".split()) for _ in range(12)) + ". "
     bad = ["You are a worthless idiot!", "Shut up, you filthy loser!", "Go away, you stupid moron!"]
     rows = [(clean() * 3 + (rng.choice(bad) if i % 4 == 0 else "The word idiot once had a legal meaning.") + " " + clean(), int(i % 4 == 0)) for i in range(240)]
-    model = abuse.Scorer(abuse.fit(rows[:160]))
+    sample = abuse.Sample(rows[:160])
+    first = sample.fit({}, 0)
+    found = abuse.counter_examples(spark.createDataFrame(rows[:160], "text string, y int"), first, 50)
+    assert all("worthless" not in w and "filthy" not in w for w in found)
+    sample.choose(first, found)
+    model = abuse.Scorer(sample.fit(found, 1))
     p = model.texts([t for t, _ in rows[160:]])
     y = np.array([y for _, y in rows[160:]])
     assert ((p > abuse.THRESHOLD) == (y == 1)).mean() >= 0.95
