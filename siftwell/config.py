@@ -14,7 +14,13 @@ class Stage1Config:
     quality_threshold: float = 0.8
     min_words: int = 6
     max_chars_per_line: int = 500
+    enable_language: bool = True
+    enable_super_quality: bool = True
+    enable_nsfw: bool = True
     enable_toxicity: bool = False
+    enable_quality: bool = True
+    safe_label: str = "safe"
+    good_label: str = "good"
 
 
 @dataclass(frozen=True)
@@ -23,10 +29,4 @@ class DedupConfig:
     num_bands: int = 16
     num_grams: int = 5
     threshold_tenths: int = 8  # Jaccard similarity in tenths, compared in whole numbers
-
-
-@dataclass(frozen=True)
-class PackConfig:
-    context: int = 512
-    eos: int = 50256
-    max_vocabulary: int = 65536
+    exact: bool = True  # links from an exact join; otherwise from shared bands of signatures

@@ -32,9 +32,6 @@ DOMAIN_TERMS = (
     "dataset", "data", "statistics", "metrics", "analysis pipeline", "framework", "architecture", "design patterns",
 )
 
-# Terms of the corpus at hand, for which the rule above is not vacuous.
-CORPUS_TERMS = ("dataset", "software", "library", "signal", "sensor", "museum", "database", "algorithm", "compiler", "archive", "council", "market")
-
 # Stop words of the document rules.
 STOP_WORDS = ("the", "be", "to", "of", "and", "that", "have", "with")
 

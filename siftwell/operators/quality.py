@@ -16,21 +16,47 @@ def _n(c: Column) -> Column:
     return c.cast("bigint")
 
 
-def gopher_metrics(df: DataFrame, column: str = "text", stop_words=X.STOP_WORDS) -> DataFrame:
-    """The frame with the counts that the Gopher rules rest on; a null text counts as empty."""
+def _gopher(t: Column, tok: Column, lin: Column, stop_words) -> dict[str, Column]:
+    return {
+        "n_tokens": F.size(tok),
+        "token_chars": F.length(F.array_join(tok, "")),
+        "alpha_tokens": F.size(F.filter(tok, lambda x: x.rlike(r"\p{L}"))),
+        "symbol_tokens": F.size(F.filter(tok, lambda x: x.isin("#", "..."))),
+        "stop_hits": F.size(F.filter(tok, lambda x: F.lower(x).isin(*stop_words))),
+        "n_lines": F.size(lin),
+        "ellipsis_lines": F.size(F.filter(lin, lambda x: T.strip(x).endswith("..."))),
+    }
+
+
+def _super(t: Column, tok: Column, terms) -> dict[str, Column]:
+    low = F.lower(t)
+    # Bound once: written out for each term, the text would be lower-cased anew for every one.
+    hits = F.element_at(F.transform(F.array(low), lambda x: sum((x.contains(term).cast("int") for term in terms), F.lit(0))), 1)
+    words = T.words(t)
+    return {
+        "distinct_tokens": F.size(F.array_distinct(tok)),
+        "n_words": F.size(words),
+        "noise_words": F.size(F.filter(words, lambda x: x.rlike(X.HTML_NOISE))),
+        "punctuation_chars": T.count_class(t, r"[^\p{L}\p{N}\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"),
+        "n_chars_all": F.length(t),
+        "digit_tokens": F.size(F.filter(tok, lambda x: x.rlike(r"\p{Nd}"))),
+        "domain_hits": hits if terms else F.lit(0),
+    }
+
+
+def metrics(df: DataFrame, column: str = "text", stop_words=X.STOP_WORDS, terms=X.DOMAIN_TERMS) -> DataFrame:
+    """The frame with the counts that the rules rest on; a null text counts as empty.
+
+    The counts are one struct of one generated row, with tokens and lines bound
+    once: a filter above it is not pushed through, which would write the whole
+    tokenizer into each of its conditions.
+    """
     t = F.coalesce(F.col(column), F.lit(""))
-    df = df.withColumn("_t", T.tokens(t)).withColumn("_l", T.lines(t))
-    tok, lin = F.col("_t"), F.col("_l")
-    return df.select(
-        *[F.col(f"`{c}`") for c in df.columns if c not in ("_t", "_l")],
-        _n(F.size(tok)).alias("n_tokens"),
-        _n(F.length(F.array_join(tok, ""))).alias("token_chars"),
-        _n(F.size(F.filter(tok, lambda x: x.rlike(r"\p{L}")))).alias("alpha_tokens"),
-        _n(F.size(F.filter(tok, lambda x: x.isin("#", "...")))).alias("symbol_tokens"),
-        _n(F.size(F.filter(tok, lambda x: F.lower(x).isin(*stop_words)))).alias("stop_hits"),
-        _n(F.size(lin)).alias("n_lines"),
-        _n(F.size(F.filter(lin, lambda x: T.strip(x).endswith("...")))).alias("ellipsis_lines"),
-    )
+    bound = F.array(F.struct(t.alias("t"), T.tokens(t).alias("tok"), T.lines(t).alias("lin")))
+    counts = lambda b: {**_gopher(b["t"], b["tok"], b["lin"], stop_words), **_super(b["t"], b["tok"], terms)}
+    rows = F.transform(bound, lambda b: F.struct(*[_n(c).alias(k) for k, c in counts(b).items()]))
+    kept = [c for c in df.columns if c not in GOPHER + SUPER]
+    return df.select(*[F.col(f"`{c}`") for c in kept], F.explode(rows).alias("_m")).select(*[F.col(f"`{c}`") for c in kept], "_m.*")
 
 
 def gopher_rules() -> dict[str, Column]:
@@ -58,26 +84,6 @@ def reasons(rules: dict[str, Column]) -> Column:
     return F.concat_ws(",", *[F.when(~r, F.lit(k)) for k, r in rules.items()])
 
 
-def super_metrics(df: DataFrame, column: str = "text", terms=X.DOMAIN_TERMS) -> DataFrame:
-    """The frame with the counts of the stricter rules."""
-    t = F.coalesce(F.col(column), F.lit(""))
-    df = df.withColumn("_t", T.tokens(t)).withColumn("_w", T.words(t))
-    hits = F.lit(0)
-    low = F.lower(t)
-    for term in terms:
-        hits = hits + low.contains(term).cast("int")
-    return df.select(
-        *[F.col(f"`{c}`") for c in df.columns if c not in ("_t", "_w")],
-        _n(F.size(F.array_distinct("_t"))).alias("distinct_tokens"),
-        _n(F.size("_w")).alias("n_words"),
-        _n(F.size(F.filter("_w", lambda x: x.rlike(X.HTML_NOISE)))).alias("noise_words"),
-        T.count_class(t, r"[^\p{L}\p{N}\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]").alias("punctuation_chars"),
-        _n(F.length(t)).alias("n_chars_all"),
-        _n(F.size(F.filter("_t", lambda x: x.rlike(r"\p{Nd}")))).alias("digit_tokens"),
-        _n(hits).alias("domain_hits"),
-    )
-
-
 def super_rules() -> dict[str, Column]:
     n = F.col("n_tokens")
     return {
@@ -91,10 +97,9 @@ def super_rules() -> dict[str, Column]:
 
 def gopher_filter(df: DataFrame, column: str = "text") -> DataFrame:
     """Documents that keep all Gopher rules, without the metrics."""
-    return gopher_metrics(df, column).where(all_of(gopher_rules())).select(*[F.col(f"`{c}`") for c in df.columns])
+    return metrics(df, column, terms=()).where(all_of(gopher_rules())).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def super_quality_filter(df: DataFrame, column: str = "text", terms=X.DOMAIN_TERMS) -> DataFrame:
     """Documents that keep the Gopher rules and the stricter ones."""
-    out = super_metrics(gopher_metrics(df, column), column, terms)
-    return out.where(all_of(gopher_rules()) & all_of(super_rules())).select(*[F.col(f"`{c}`") for c in df.columns])
+    return metrics(df, column, terms=terms).where(all_of(gopher_rules()) & all_of(super_rules())).select(*[F.col(f"`{c}`") for c in df.columns])

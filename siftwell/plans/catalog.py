@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siftwell import lexicons as X
+from siftwell.config import Stage1Config
 from siftwell.functions import bpe, masking
 from siftwell.functions import text as T
 from siftwell.operators import classify, dedup, lines, quality, tokens
@@ -97,37 +98,40 @@ _gopher = {
     "ellipsis": "n_lines > 0 AND 10 * ellipsis_lines <= 3 * n_lines",
 }
 _gopher_all = " AND ".join(f"({r})" for r in _gopher.values())
-_hits = " + ".join(f"contains(lower(text), {S.q(t)})::BIGINT" for t in X.CORPUS_TERMS)
-_super_all = f"(10 * distinct_tokens >= 3 * n_tokens) AND (1000 * noise_words < 5 * greatest(n_words, 1)) AND (n_chars_all > 0 AND 10 * punctuation_chars <= 2 * n_chars_all) AND (10 * digit_tokens <= n_tokens) AND ({_hits} >= 2)"
+def _super_sql(terms):
+    hits = " + ".join(f"contains(lower(text), {S.q(t)})::BIGINT" for t in terms)
+    return f"(10 * distinct_tokens >= 3 * n_tokens) AND (1000 * noise_words < 5 * greatest(n_words, 1)) AND (n_chars_all > 0 AND 10 * punctuation_chars <= 2 * n_chars_all) AND (10 * digit_tokens <= n_tokens) AND ({hits} >= 2)"
 
 
-def _super(s, d):
-    return quality.super_metrics(quality.gopher_metrics(docs(s, d)), terms=X.CORPUS_TERMS)
+def _counts(s, d, terms=()):
+    return quality.metrics(docs(s, d), terms=terms)
 
 
-query("gopher_metrics", f"WITH {_metrics} SELECT doc_id, {', '.join(quality.GOPHER)} FROM m")(lambda s, d: quality.gopher_metrics(docs(s, d)).select("doc_id", *quality.GOPHER))
-query("gopher_keep", f"WITH {_metrics} SELECT doc_id FROM m WHERE {_gopher_all}")(lambda s, d: quality.gopher_metrics(docs(s, d)).where(quality.all_of(quality.gopher_rules())).select("doc_id"))
+def _super_keep(s, d, terms):
+    return _counts(s, d, terms).where(quality.all_of(quality.gopher_rules()) & quality.all_of(quality.super_rules())).select("doc_id")
+
+
+query("gopher_metrics", f"WITH {_metrics} SELECT doc_id, {', '.join(quality.GOPHER)} FROM m")(lambda s, d: _counts(s, d).select("doc_id", *quality.GOPHER))
+query("gopher_keep", f"WITH {_metrics} SELECT doc_id FROM m WHERE {_gopher_all}")(lambda s, d: _counts(s, d).where(quality.all_of(quality.gopher_rules())).select("doc_id"))
 query("gopher_fail_reasons", f"WITH {_metrics} SELECT doc_id, concat_ws(',', {', '.join(f'CASE WHEN NOT ({r}) THEN {S.q(k)} END' for k, r in _gopher.items())}) AS reasons FROM m")(
-    lambda s, d: quality.gopher_metrics(docs(s, d)).select("doc_id", quality.reasons(quality.gopher_rules()).alias("reasons"))
+    lambda s, d: _counts(s, d).select("doc_id", quality.reasons(quality.gopher_rules()).alias("reasons"))
 )
 query("lexical_diversity", f"WITH {_metrics} SELECT doc_id, distinct_tokens, n_tokens, 10 * distinct_tokens >= 3 * n_tokens AS keep FROM m")(
-    lambda s, d: _super(s, d).select("doc_id", "distinct_tokens", "n_tokens", quality.super_rules()["diversity"].alias("keep"))
+    lambda s, d: _counts(s, d).select("doc_id", "distinct_tokens", "n_tokens", quality.super_rules()["diversity"].alias("keep"))
 )
 query("html_noise", f"WITH {_metrics} SELECT doc_id, noise_words, n_words, 1000 * noise_words < 5 * greatest(n_words, 1) AS keep FROM m")(
-    lambda s, d: _super(s, d).select("doc_id", "noise_words", "n_words", quality.super_rules()["html_noise"].alias("keep"))
+    lambda s, d: _counts(s, d).select("doc_id", "noise_words", "n_words", quality.super_rules()["html_noise"].alias("keep"))
 )
 query("punctuation_ratio", f"WITH {_metrics} SELECT doc_id, punctuation_chars, n_chars_all, n_chars_all > 0 AND 10 * punctuation_chars <= 2 * n_chars_all AS keep FROM m")(
-    lambda s, d: _super(s, d).select("doc_id", "punctuation_chars", "n_chars_all", quality.super_rules()["punctuation"].alias("keep"))
+    lambda s, d: _counts(s, d).select("doc_id", "punctuation_chars", "n_chars_all", quality.super_rules()["punctuation"].alias("keep"))
 )
 query("numeric_ratio", f"WITH {_metrics} SELECT doc_id, digit_tokens, n_tokens, 10 * digit_tokens <= n_tokens AS keep FROM m")(
-    lambda s, d: _super(s, d).select("doc_id", "digit_tokens", "n_tokens", quality.super_rules()["numeric"].alias("keep"))
+    lambda s, d: _counts(s, d).select("doc_id", "digit_tokens", "n_tokens", quality.super_rules()["numeric"].alias("keep"))
 )
 query("domain_coherence", "SELECT doc_id, " + " + ".join(f"contains(lower(coalesce(text, '')), {S.q(t)})::BIGINT" for t in X.DOMAIN_TERMS) + " AS domain_hits FROM documents")(
-    lambda s, d: quality.super_metrics(docs(s, d)).select("doc_id", "domain_hits")
-)
-query("super_quality_keep", f"WITH {_metrics} SELECT doc_id FROM m WHERE {_gopher_all} AND {_super_all}")(
-    lambda s, d: _super(s, d).where(quality.all_of(quality.gopher_rules()) & quality.all_of(quality.super_rules())).select("doc_id")
+    lambda s, d: _counts(s, d, X.DOMAIN_TERMS).select("doc_id", "domain_hits")
 )
+query("super_quality_keep", f"WITH {_metrics} SELECT doc_id FROM m WHERE {_gopher_all} AND {_super_sql(X.DOMAIN_TERMS)}")(lambda s, d: _super_keep(s, d, X.DOMAIN_TERMS))
 
 # ---- lines
 
@@ -165,18 +169,27 @@ query("exact_doc_dedup", "SELECT min(doc_id) AS doc_id, count(*) AS copies FROM
 
 _g = S.grams_cte("documents", N)
 _lsh = f"{_g}, {S.minhash_cte(HASHES)}, {S.bands_cte(HASHES, BANDS)}"
-_clu = f"{_lsh}, {S.VERIFY}, {S.LINKS}, {S.clusters_cte()}"
 
 
-def _reps(s, d):
-    return dedup.classes(dedup.grams(docs(s, d), N))
+def _clusters_sql(cand: str, tenths: int = 8) -> str:
+    return f"{cand}, {S.verify(tenths)}, {S.LINKS}, {S.clusters_cte()}"
+
+
+def _reps(s, d, n=N):
+    return dedup.classes(dedup.grams(docs(s, d), n))
+
+
+def _lsh_pairs(s, d, n=N, tenths=8, num_bands=BANDS):
+    reps, _ = _reps(s, d, n)
+    return dedup.verify(dedup.candidates(dedup.bands(dedup.minhash(reps, HASHES, "rep"), num_bands, HASHES, "rep"), "rep"), reps, tenths)
 
 
 query("ngram_counts", f"WITH {_g} SELECT doc_id, len(grams) AS n_grams FROM gg")(lambda s, d: dedup.grams(docs(s, d), N).select("doc_id", F.size("grams").cast("bigint").alias("n_grams")))
 query("shingle_classes", f"WITH {_g} SELECT doc_id, rep FROM gm")(lambda s, d: _reps(s, d)[1])
-query("jaccard_pairs", f"WITH {_g}, cand AS (SELECT DISTINCT x.rep AS src, y.rep AS dst FROM (SELECT rep, unnest(grams) AS g FROM reps) x JOIN (SELECT rep, unnest(grams) AS g FROM reps) y ON x.g = y.g AND x.rep < y.rep), {S.VERIFY} SELECT src, dst, inter, total FROM pairs")(
-    lambda s, d: dedup.similar_pairs(_reps(s, d)[0])
-)
+# At eight tenths few pairs or none are there in small tables, so that each join is also asked at LOW tenths and 3-grams.
+LOW = 4
+for _name, _n, _tenths in (("jaccard_pairs", N, 8), ("jaccard_pairs_low", 3, LOW)):
+    query(_name, f"WITH {S.grams_cte('documents', _n)}, {S.EXACT_CAND}, {S.verify(_tenths)} SELECT src, dst, inter, total FROM pairs")(lambda s, d, n=_n, t=_tenths: dedup.similar_pairs(_reps(s, d, n)[0], t))
 query("minhash_signature", f"WITH {_g}, {S.minhash_cte(HASHES)} SELECT rep, array_to_string(signature, ',') AS signature FROM sig")(
     lambda s, d: dedup.minhash(_reps(s, d)[0], HASHES, "rep").select("rep", F.array_join("signature", ",").alias("signature"))
 )
@@ -185,16 +198,15 @@ query("lsh_candidates", f"WITH {_lsh} SELECT src, dst FROM cand")(
 )
 
 
-@query("near_dup_pairs", f"WITH {_lsh}, {S.VERIFY} SELECT src, dst, inter, total FROM pairs")
-def near_dup_pairs(s, d):
-    reps, _ = _reps(s, d)
-    return dedup.verify(dedup.candidates(dedup.bands(dedup.minhash(reps, HASHES, "rep"), BANDS, HASHES, "rep"), "rep"), reps)
-
-
-query("near_dup_clusters", f"WITH RECURSIVE {_clu} SELECT doc_id, cluster FROM clu")(lambda s, d: dedup.clusters(docs(s, d), N, HASHES, BANDS))
-query("fuzzy_dedup_survivors", f"WITH RECURSIVE {_clu} SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM clu WHERE doc_id <> cluster)")(
-    lambda s, d: dedup.survivors(docs(s, d), n=N, num_hashes=HASHES, num_bands=BANDS).select("doc_id")
+for _name, _n, _tenths, _b in (("near_dup_pairs", N, 8, BANDS), ("near_dup_pairs_low", 3, LOW, 64)):
+    query(_name, f"WITH {S.grams_cte('documents', _n)}, {S.minhash_cte(HASHES)}, {S.bands_cte(HASHES, _b)}, {S.verify(_tenths)} SELECT src, dst, inter, total FROM pairs")(lambda s, d, n=_n, t=_tenths, b=_b: _lsh_pairs(s, d, n, t, b))
+for _name, _n, _tenths in (("near_dup_clusters", N, 8), ("near_dup_clusters_low", 3, LOW)):
+    query(_name, f"WITH RECURSIVE {S.grams_cte('documents', _n)}, {_clusters_sql(S.EXACT_CAND, _tenths)} SELECT doc_id, cluster FROM clu")(lambda s, d, n=_n, t=_tenths: dedup.clusters(docs(s, d), n, t))
+query("lsh_clusters", f"WITH RECURSIVE {_lsh}, {S.VERIFY}, {S.LINKS}, {S.clusters_cte()} SELECT doc_id, cluster FROM clu")(lambda s, d: dedup.lsh_clusters(docs(s, d), N, HASHES, BANDS))
+query("fuzzy_dedup_survivors", f"WITH RECURSIVE {_g}, {_clusters_sql(S.EXACT_CAND)} SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM clu WHERE doc_id <> cluster)")(
+    lambda s, d: dedup.survivors(docs(s, d), n=N).select("doc_id")
 )
+query("murmur_signature")(lambda s, d: dedup.murmur_minhash(docs(s, d)).select("doc_id", F.array_join("signature", ",").alias("signature")))
 
 # ---- classifiers
 
@@ -214,14 +226,27 @@ def _labelled(s, d, column, one, zero):
     return classify.majority(table(s, d, "labels"), column, {1: one, 0: zero}).join(docs(s, d).where("text is not null").select("doc_id"), "doc_id", "left_semi")
 
 
-query("langid_predict", f"{S.naive_bayes(_lang)} SELECT doc_id, label, score FROM pr")(lambda s, d: classify.classify(docs(s, d), _langs(s, d)))
-query("langid_confusion", f"{S.naive_bayes(_lang)} SELECT lb.label AS label, pr.label AS predicted, count(*) AS docs FROM pr JOIN lb USING (doc_id) GROUP BY ALL")(
-    lambda s, d: classify.classify(docs(s, d), _langs(s, d)).withColumnRenamed("label", "predicted").join(_langs(s, d), "doc_id").groupBy("label", "predicted").agg(F.count("*").alias("docs"))
+_quality, _toxic = _votes("quality", "good", "bad"), _votes("toxic", "harmful", "safe")
+
+
+def _quality_labels(s, d):
+    return _labelled(s, d, "quality", "good", "bad")
+
+
+def _harm_labels(s, d):
+    return _labelled(s, d, "toxic", "harmful", "safe")
+
+
+query("langid_predict", f"WITH {S.naive_bayes(_lang, classify.CHARS)} SELECT doc_id, label, score FROM pr")(lambda s, d: classify.classify(docs(s, d), _langs(s, d), classify.CHARS))
+query("langid_confusion", f"WITH {S.naive_bayes(_lang, classify.CHARS)} SELECT lb.label AS label, pr.label AS predicted, count(*) AS docs FROM pr JOIN lb USING (doc_id) GROUP BY ALL")(
+    lambda s, d: classify.classify(docs(s, d), _langs(s, d), classify.CHARS).withColumnRenamed("label", "predicted").join(_langs(s, d), "doc_id").groupBy("label", "predicted").agg(F.count("*").alias("docs"))
 )
-query("quality_score", f"{S.naive_bayes(_votes('quality', 'good', 'bad'))} SELECT doc_id, label, score FROM pr")(lambda s, d: classify.classify(docs(s, d), _labelled(s, d, "quality", "good", "bad")))
-query("toxicity_score", f"{S.naive_bayes(_votes('toxic', 'toxic', 'non-toxic'))} SELECT doc_id, label, score FROM pr")(lambda s, d: classify.classify(docs(s, d), _labelled(s, d, "toxic", "toxic", "non-toxic")))
-query("threshold_filter", f"{S.naive_bayes(_votes('quality', 'good', 'bad'))} SELECT doc_id, score FROM pr WHERE label = 'good' AND score >= 0.8")(
-    lambda s, d: classify.keep(classify.classify(docs(s, d), _labelled(s, d, "quality", "good", "bad")), "good", 0.8).select("doc_id", "score")
+query("langid_held_out", S.evaluate(_lang, classify.CHARS))(lambda s, d: classify.evaluate(docs(s, d), _langs(s, d), classify.CHARS))
+query("quality_score", f"WITH {S.naive_bayes(_quality, classify.WORDS)} SELECT doc_id, label, score FROM pr")(lambda s, d: classify.classify(docs(s, d), _quality_labels(s, d)))
+query("quality_held_out", S.evaluate(_quality, classify.WORDS))(lambda s, d: classify.evaluate(docs(s, d), _quality_labels(s, d)))
+query("harm_score", f"WITH {S.naive_bayes(_toxic, classify.WORDS)} SELECT doc_id, label, score FROM pr")(lambda s, d: classify.classify(docs(s, d), _harm_labels(s, d)))
+query("threshold_filter", f"WITH {S.naive_bayes(_quality, classify.WORDS)} SELECT doc_id, score FROM pr WHERE label = 'good' AND score >= 0.8")(
+    lambda s, d: classify.keep(classify.classify(docs(s, d), _quality_labels(s, d)), "good", 0.8).select("doc_id", "score")
 )
 
 # ---- pages, tokens
@@ -232,6 +257,7 @@ for _p, _to in html.NATIVE:
 query("html_extract", f"SELECT page_id, trim({_h}) AS text FROM pages")(lambda s, d: table(s, d, "pages").select("page_id", html.native_text(F.col("html")).alias("text")))
 query("html_text")(lambda s, d: html.extract_text(table(s, d, "pages")).select("page_id", "text"))
 query("bpe_token_counts")(lambda s, d: docs(s, d).select("doc_id", bpe.token_counts()("text").alias("n_tokens")))
+query("token_stream_offsets")(lambda s, d: tokens.offsets(tokens.token_stream(docs(s, d)).select("doc_id", F.size("ids").cast("bigint").alias("n")), "n"))
 query("token_stream")(lambda s, d: tokens.token_stream(docs(s, d)).select("doc_id", F.size("ids").cast("bigint").alias("n_ids"), F.element_at("ids", -1).alias("last_id")))
 
 
@@ -247,18 +273,45 @@ query("training_windows", f"WITH {_of}, n2 AS (SELECT doc_id, n, start, unnest(g
 
 # ---- stages
 
-_s1m, _s1c = S.masked(_filtered)
-_clean = f"c AS (SELECT doc_id, {S.normalize_whitespace('mt')} AS text, email, phone_numbers, ip_address FROM (SELECT doc_id, {_s1m} AS mt, {', '.join(f'{e} AS {k}' for k, e in _s1c.items())} FROM documents))"
-_steps = {
-    "not_blank": f"{S.strip('m.text')} <> ''", "language": "coalesce(m.lang = 'en' AND m.confidence >= 0.9, false)", "gopher": _gopher_all, "super_quality": "true",
-    "nsfw": "true", "toxicity": "true", "quality": "true", "not_empty": "coalesce(c.text, '') <> ''",
-}
-query("stage1", f"WITH {_metrics}, {_clean} SELECT c.doc_id, c.text, c.email, c.phone_numbers, c.ip_address FROM m JOIN c USING (doc_id) WHERE " + " AND ".join(f"({e})" for e in _steps.values()))(
-    lambda s, d: pipeline.stage1(docs(s, d))
-)
+
+def _models(s, d):
+    """The classifiers of stage 1 from the tables at hand: one harm classifier serves both steps that ask for one."""
+    harm = classify.train(docs(s, d), _harm_labels(s, d))
+    return pipeline.Models(classify.train(docs(s, d), _langs(s, d), classify.CHARS), harm, harm, classify.train(docs(s, d), _quality_labels(s, d)))
+
+
+_s1m, _s1c = S.masked("text")
+_clean = f"f AS (SELECT doc_id, {_filtered} AS text FROM documents), c AS (SELECT doc_id, {S.normalize_whitespace('mt')} AS text, email, phone_numbers, ip_address FROM (SELECT doc_id, {_s1m} AS mt, {', '.join(f'{e} AS {k}' for k, e in _s1c.items())} FROM f))"
+_scores = f"{S.naive_bayes(_lang, classify.CHARS, 'l')}, {S.naive_bayes(_toxic, classify.WORDS, 'h')}, {S.naive_bayes(_quality, classify.WORDS, 'q', 'f')}"
+_joined = "FROM m JOIN c USING (doc_id) LEFT JOIN lpr ON lpr.doc_id = m.doc_id LEFT JOIN hpr ON hpr.doc_id = m.doc_id LEFT JOIN qpr ON qpr.doc_id = m.doc_id"
+
+
+def _steps(terms):
+    return {
+        "not_blank": f"{S.strip('m.text')} <> ''", "language": "coalesce(lpr.label = 'en' AND lpr.score >= 0.9, false)", "gopher": _gopher_all, "super_quality": _super_sql(terms).replace("lower(text)", "lower(m.text)"),
+        "nsfw": "coalesce(hpr.label = 'safe' AND hpr.score >= 0.95, false)", "toxicity": "true", "quality": "coalesce(qpr.label = 'good' AND qpr.score >= 0.8, false)", "not_empty": "coalesce(c.text, '') <> ''",
+    }
+
+
+def _stage1_sql(terms):
+    return f"WITH {_metrics}, {_clean}, {_scores} SELECT c.doc_id, c.text, c.email, c.phone_numbers, c.ip_address {_joined} WHERE " + " AND ".join(f"({e})" for e in _steps(terms).values())
+
+
+query("stage1", _stage1_sql(X.DOMAIN_TERMS))(lambda s, d: pipeline.stage1(docs(s, d), models=_models(s, d)))
 _after = []
-for _i, _k in enumerate(_steps):
-    _after.append(f"count(*) FILTER (WHERE {' AND '.join(f'({e})' for e in list(_steps.values())[: _i + 1])}) AS after_{_k}")
-query("retention_report", f"WITH {_metrics}, {_clean} SELECT source, count(*) AS docs, {', '.join(_after)} FROM m JOIN c USING (doc_id) GROUP BY source")(lambda s, d: pipeline.retention(docs(s, d), "source"))
-_g2 = f"{S.grams_cte('ld', N)}, {S.minhash_cte(HASHES)}, {S.bands_cte(HASHES, BANDS)}, {S.VERIFY}, {S.LINKS}, {S.clusters_cte()}"
+for _i, _k in enumerate(_steps(X.DOMAIN_TERMS)):
+    _after.append(f"count(*) FILTER (WHERE {' AND '.join(f'({e})' for e in list(_steps(X.DOMAIN_TERMS).values())[: _i + 1])}) AS after_{_k}")
+query("retention_report", f"WITH {_metrics}, {_clean}, {_scores} SELECT source, count(*) AS docs, {', '.join(_after)} {_joined} GROUP BY source")(
+    lambda s, d: pipeline.retention(docs(s, d), "source", models=_models(s, d))
+)
+_nt = f"nt AS (SELECT doc_id, url, {S.normalize_whitespace('text')} AS text FROM documents)"
+_jm, _jc = S.masked("nt.text")
+query("json_lines", f"WITH {_nt}, {_metrics.replace('FROM documents)', 'FROM (SELECT doc_id, source, nt.text, documents.lang, documents.confidence FROM documents JOIN nt USING (doc_id)))')}, {S.naive_bayes(_lang, classify.CHARS, 'l', 'nt')}, {S.naive_bayes(_toxic, classify.WORDS, 'h', 'nt')} SELECT nt.url, {_jm} AS text, lpr.label AS lang, lpr.score AS confidence, {' + '.join(_jc.values())} AS masked FROM nt JOIN m USING (doc_id) JOIN lpr ON lpr.doc_id = nt.doc_id JOIN hpr ON hpr.doc_id = nt.doc_id WHERE nt.text <> '' AND lpr.label = 'en' AND lpr.score >= 0.9 AND hpr.label = 'safe' AND hpr.score >= 0.95 AND {_gopher_all}")(
+    lambda s, d: pipeline.json_lines(docs(s, d), Stage1Config(enable_quality=False, enable_toxicity=True), _models(s, d)).select("url", "text", "lang", "confidence", (F.col("pii_counts.email") + F.col("pii_counts.phone_numbers") + F.col("pii_counts.ip_address")).cast("bigint").alias("masked"))
+)
+_tm, _tc = S.masked("d.text")
+query("training_lines", f"WITH {S.naive_bayes(_lang, classify.CHARS, 'l')} SELECT '__label__bad ' || substr(replace({_tm}, chr(10), ' '), 1, 10000) AS value FROM documents d JOIN lpr ON lpr.doc_id = d.doc_id WHERE lpr.label = 'en' AND lpr.score >= 0.9 AND {S.strip('d.text')} <> ''")(
+    lambda s, d: pipeline.training_lines(docs(s, d), Stage1Config(enable_quality=False, enable_nsfw=False), pipeline.Models(classify.train(docs(s, d), _langs(s, d), classify.CHARS)), good=False)
+)
+_g2 = f"{S.grams_cte('ld', N)}, {_clusters_sql(S.EXACT_CAND)}"
 query("stage2", f"WITH RECURSIVE {_once}, {_g2} SELECT doc_id, {S.collapse('text')} AS text FROM ld WHERE doc_id NOT IN (SELECT doc_id FROM clu WHERE doc_id <> cluster)")(lambda s, d: pipeline.stage2(docs(s, d)))

@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> None:
-    """Uses the folder the cluster names; sets one only where none is set."""
+    """Uses the folder the cluster names; only on a single machine is one made where none is set."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="siftwell-"))
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and sc.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="siftwell-"))
 
 
 def cut(frame: DataFrame) -> DataFrame:

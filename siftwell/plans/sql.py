@@ -98,18 +98,46 @@ def clusters_cte(key: str = "doc_id") -> str:
 clu AS (SELECT {key}, cluster FROM cj WHERE cluster IN (SELECT cluster FROM cj GROUP BY cluster HAVING count(*) > 1))"""
 
 
-def naive_bayes(labels: str, digits: int = 4) -> str:
-    """SQL of classify(): ``labels`` selects (doc_id, label)."""
-    return f"""WITH lb AS ({labels}),
-tk AS (SELECT doc_id, unnest({tokens("lower(text)")}) AS token FROM documents WHERE text IS NOT NULL),
-tn AS (SELECT doc_id, token, count(*) AS n FROM tk WHERE regexp_matches(token, '\\p{{L}}') GROUP BY ALL),
-per AS (SELECT label, token, sum(n)::BIGINT AS n FROM tn JOIN lb USING (doc_id) GROUP BY ALL),
-tot AS (SELECT label, sum(n)::BIGINT AS total FROM per GROUP BY label),
-voc AS (SELECT count(DISTINCT token) AS v FROM per),
-dc AS (SELECT label, count(*) AS docs FROM lb GROUP BY label),
-mo AS (SELECT label, ln(docs / (SELECT sum(docs) FROM dc)) AS prior, ln(1.0::DOUBLE / (total + v)) AS base FROM dc JOIN tot USING (label), voc),
-le AS (SELECT doc_id, sum(n)::BIGINT AS length FROM tn GROUP BY doc_id),
-se AS (SELECT tn.doc_id, per.label, sum(tn.n * ln(per.n + 1.0::DOUBLE)) AS s FROM tn JOIN per USING (token) GROUP BY ALL),
-sc AS (SELECT le.doc_id, mo.label, prior + length * base + coalesce(s, 0) AS s FROM le CROSS JOIN mo LEFT JOIN se ON se.doc_id = le.doc_id AND se.label = mo.label),
-tp AS (SELECT doc_id, max(s) AS top FROM sc GROUP BY doc_id),
-pr AS (SELECT doc_id, min(label) FILTER (WHERE s >= top - 1e-9) AS label, round(1 / sum(exp(s - top)), {digits}) AS score FROM sc JOIN tp USING (doc_id) GROUP BY doc_id)"""
+EXACT_CAND = "cand AS (SELECT DISTINCT x.rep AS src, y.rep AS dst FROM (SELECT rep, unnest(grams) AS g FROM reps) x JOIN (SELECT rep, unnest(grams) AS g FROM reps) y ON x.g = y.g AND x.rep < y.rep)"
+
+
+def verify(tenths: int = 8) -> str:
+    return VERIFY.replace("* 8)", f"* {tenths})")
+
+
+def features_cte(p: str, source: str, kind: str, n: int, buckets: int) -> str:
+    """{p}tn (doc_id, bucket, n): hashed features of the texts of ``source`` (doc_id, text)."""
+    pieces = "[token]" if kind == "words" else f"flatten(list_transform(generate_series(1, {n}), lambda k: list_transform(generate_series(1, length(token) + 3 - k), lambda i: substr('<' || token || '>', i, k))))"
+    return f"""{p}t0 AS (SELECT doc_id, unnest({tokens("lower(text)")}) AS token FROM {source} WHERE text IS NOT NULL),
+{p}t1 AS (SELECT doc_id, token, count(*) AS n FROM {p}t0 WHERE regexp_matches(token, '\\p{{L}}') GROUP BY ALL),
+{p}g AS (SELECT token, unnest({pieces}) AS g FROM (SELECT DISTINCT token FROM {p}t1)),
+{p}v AS (SELECT token, ('0x' || substr(md5(g), 1, 8))::BIGINT % {buckets} AS bucket, count(*) AS k FROM {p}g GROUP BY ALL),
+{p}tn AS (SELECT doc_id, bucket, sum(n * k)::BIGINT AS n FROM {p}t1 JOIN {p}v USING (token) GROUP BY ALL)"""
+
+
+def naive_bayes(labels: str, features, p: str = "", source: str = "documents", digits: int = 4) -> str:
+    """CTEs of classify(): ``labels`` selects (doc_id, label); {p}pr (doc_id, label, score) are the texts of ``source``."""
+    of = lambda q, s: features_cte(q, s, features.kind, features.n, features.buckets)
+    t = p if source == "documents" else p + "s"
+    return f"""{p}lb AS ({labels}),
+{of(p, "documents")},{"" if t == p else chr(10) + of(t, source) + ","}
+{p}per AS (SELECT label, bucket, sum(n)::BIGINT AS n FROM {p}tn JOIN {p}lb USING (doc_id) GROUP BY ALL),
+{p}tot AS (SELECT label, sum(n)::BIGINT AS total FROM {p}per GROUP BY label),
+{p}dc AS (SELECT label, count(*) AS docs FROM {p}lb GROUP BY label),
+{p}mo AS (SELECT label, ln(docs / (SELECT sum(docs) FROM {p}dc)) AS prior, ln(1.0::DOUBLE / (total + {features.buckets})) AS base FROM {p}dc JOIN {p}tot USING (label)),
+{p}le AS (SELECT doc_id, sum(n)::BIGINT AS length FROM {t}tn GROUP BY doc_id),
+{p}se AS (SELECT x.doc_id, y.label, sum(x.n * ln(y.n + 1.0::DOUBLE)) AS s FROM {t}tn x JOIN {p}per y USING (bucket) GROUP BY ALL),
+{p}sc AS (SELECT le.doc_id, mo.label, prior + length * base + coalesce(s, 0) AS s FROM {p}le le CROSS JOIN {p}mo mo LEFT JOIN {p}se se ON se.doc_id = le.doc_id AND se.label = mo.label),
+{p}tp AS (SELECT doc_id, max(s) AS top FROM {p}sc GROUP BY doc_id),
+{p}pr AS (SELECT doc_id, min(label) FILTER (WHERE s >= top - 1e-9) AS label, round(1 / sum(exp(s - top)), {digits}) AS score FROM {p}sc JOIN {p}tp USING (doc_id) GROUP BY doc_id)"""
+
+
+HELD_OUT = "('0x' || substr(md5(doc_id::VARCHAR), 1, 4))::BIGINT % 10 < 2"
+
+
+def evaluate(labels: str, features) -> str:
+    """SQL of evaluate()."""
+    return f"""WITH lall AS ({labels}), {naive_bayes(f"SELECT doc_id, label FROM lall WHERE NOT ({HELD_OUT})", features)},
+te AS (SELECT pr.label AS said, lall.label AS label FROM pr JOIN lall USING (doc_id) WHERE {HELD_OUT}),
+a AS (SELECT label, count(*) AS docs, count(*) FILTER (WHERE said = label) AS r FROM te GROUP BY label), b AS (SELECT said AS label, count(*) AS said FROM te GROUP BY said)
+SELECT coalesce(a.label, b.label) AS label, coalesce(docs, 0) AS docs, coalesce(r, 0) AS "right", coalesce(said, 0) AS said FROM a FULL JOIN b ON a.label = b.label"""

@@ -6,16 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftwell.config import Stage1Config
-from siftwell.plans.pipeline import stage1
+from siftwell.plans.pipeline import Models, stage1
 
 
 def read_landing(spark: SparkSession, path: str, schema, format: str = "parquet") -> DataFrame:
     return spark.readStream.format(format).schema(schema).load(path)
 
 
-def clean_stream(stream: DataFrame, config: Stage1Config = Stage1Config()) -> DataFrame:
+def clean_stream(stream: DataFrame, config: Stage1Config = Stage1Config(), models: Models = Models()) -> DataFrame:
     """Stage 1 holds no state, so the batch plan serves a stream as well."""
-    return stage1(stream, config)
+    return stage1(stream, config, models)
 
 
 def drop_copies(stream: DataFrame, time: str, late: str = "1 day", column: str = "text") -> DataFrame:
