@@ -2,6 +2,8 @@
 
 Documents with the same set of shingles are one class; everything after that
 works on one representative of each class, so copies never multiply into pairs.
+Shingles are kept as 64 bits of their MD5 in sorted arrays, made in one Arrow
+pass over the normalized texts.
 """
 
 from __future__ import annotations
@@ -10,10 +12,11 @@ import hashlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftwell.functions import text as T
+from siftwell.functions.murmur import signature as murmur_signature
 from siftwell.plans.lineage import cut
 
 PRIME = (1 << 31) - 1
@@ -29,44 +32,62 @@ def coefficients(n: int) -> list[tuple[int, int]]:
     return [(_md5_32(f"a{i}") % ((1 << 30) - 1) + 1, _md5_32(f"b{i}") % (1 << 30)) for i in range(n)]
 
 
-def gram_hash(gram: Column) -> Column:
-    """First 32 bits of the MD5 of a shingle."""
-    return F.conv(F.substring(F.md5(gram), 1, 8), 16, 10).cast("bigint")
+def gram_strings(text: str | None, n: int) -> set[str]:
+    """Distinct n-word shingles of a normalized text; none of fewer words."""
+    w = [x for x in text.split(" ") if x] if text else []
+    return {" ".join(w[i : i + n]) for i in range(len(w) - n + 1)}
 
 
 def grams(df: DataFrame, n: int = 5, key: str = "doc_id", column: str = "text", literal: bool = False) -> DataFrame:
-    """(key, grams): distinct shingles of each document."""
-    return df.select(key, T.ngrams(T.normalize_for_grams(F.col(column), literal), n).alias("grams"))
+    """(key, grams): distinct shingles of each document, as sorted 64-bit hashes."""
+
+    def run(texts: pd.Series) -> pd.Series:
+        out = []
+        for t in texts:
+            raw = b"".join(hashlib.md5(g.encode()).digest()[:8] for g in gram_strings(t, n))
+            out.append(np.unique(np.frombuffer(raw, dtype=">i8").astype(np.int64)))
+        return pd.Series(out, dtype=object)
+
+    return df.select(key, F.pandas_udf(run, "array<bigint>")(T.normalize_for_grams(F.col(column), literal)).alias("grams"))
 
 
 def classes(shingled: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """Representatives (rep, grams) of equal shingle sets, and membership (key, rep); empty sets are left out."""
-    some = shingled.where(F.size("grams") > 0).withColumn("_s", F.sha2(F.array_join(F.array_sort("grams"), "\x1f"), 256))
+    """Representatives (rep, grams) of equal shingle sets, and membership (key, rep); empty sets are left out.
+
+    The shingles are computed once and kept; the arrays are shuffled once.
+    """
+    some = cut(shingled.where(F.size("grams") > 0).withColumn("_s", F.sha2(F.array_join("grams", ","), 256)))
     reps = some.groupBy("_s").agg(F.min(key).alias("rep"))
     members = some.select(key, "_s").join(reps, "_s").select(key, "rep")
     return some.join(reps.select(F.col("rep").alias(key)), key, "left_semi").select(F.col(key).alias("rep"), "grams"), members
 
 
 def minhash(shingled: DataFrame, num_hashes: int = 128, key: str = "doc_id") -> DataFrame:
-    """(key, signature): minima of the hash family over the shingles; documents without shingles have none.
-
-    One Arrow pass over arrays of base hashes; md5 stays in the JVM.
-    """
+    """(key, signature): minima of the hash family over the shingles' first 32 bits; none without shingles."""
     a = np.array([x for x, _ in coefficients(num_hashes)], dtype=np.int64)
     b = np.array([y for _, y in coefficients(num_hashes)], dtype=np.int64)
 
     def run(hashes: pd.Series) -> pd.Series:
         out = []
         for h in hashes:
-            x = np.asarray(h, dtype=np.int64)
+            x = (np.asarray(h, dtype=np.int64).view(np.uint64) >> np.uint64(32)).astype(np.int64)
             best = np.full(len(a), PRIME, dtype=np.int64)
             for at in range(0, len(x), 4096):
                 best = np.minimum(best, ((x[at : at + 4096, None] * a + b) % PRIME).min(0))
             out.append(best)
         return pd.Series(out, dtype=object)
 
-    some = shingled.where(F.size("grams") > 0).select(key, F.transform("grams", gram_hash).alias("h"))
-    return some.select(key, F.pandas_udf(run, "array<bigint>")("h").alias("signature"))
+    return shingled.where(F.size("grams") > 0).select(key, F.pandas_udf(run, "array<bigint>")("grams").alias("signature"))
+
+
+def murmur_minhash(df: DataFrame, num_hashes: int = 32, n: int = 3, key: str = "doc_id", column: str = "text", literal: bool = False) -> DataFrame:
+    """(key, signature): the smallest MurmurHash3 of any shingle for each seed, as stored signatures have it."""
+
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([murmur_signature(sorted(g), num_hashes) if (g := gram_strings(t, n)) else None for t in texts], dtype=object)
+
+    rows = df.select(key, F.pandas_udf(run, "array<bigint>")(T.normalize_for_grams(F.col(column), literal)).alias("signature"))
+    return rows.where(F.col("signature").isNotNull())
 
 
 def bands(signatures: DataFrame, num_bands: int = 16, num_hashes: int = 128, key: str = "doc_id") -> DataFrame:
@@ -80,11 +101,10 @@ def bands(signatures: DataFrame, num_bands: int = 16, num_hashes: int = 128, key
 
 def candidates(banded: DataFrame, key: str = "doc_id") -> DataFrame:
     """(src, dst) with src < dst that share a bucket.  To be given representatives, not copies."""
-    counted = banded.groupBy("band_no", "band").agg(F.count("*").alias("n")).where("n > 1").select("band_no", "band")
-    shared = banded.join(counted, ["band_no", "band"], "left_semi")
-    a = shared.select("band_no", "band", F.col(key).alias("src"))
-    b = shared.select("band_no", "band", F.col(key).alias("dst"))
-    return a.join(b, ["band_no", "band"]).where("src < dst").select("src", "dst").distinct()
+    hashed = banded.select(F.xxhash64("band_no", "band").alias("bucket"), key)
+    counted = hashed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    shared = hashed.join(counted, "bucket", "left_semi")
+    return shared.select("bucket", F.col(key).alias("src")).join(shared.select("bucket", F.col(key).alias("dst")), "bucket").where("src < dst").select("src", "dst").distinct()
 
 
 def verify(pairs: DataFrame, shingled: DataFrame, tenths: int = 8, key: str = "rep") -> DataFrame:
@@ -104,11 +124,11 @@ def similar_pairs(reps: DataFrame, tenths: int = 8) -> DataFrame:
     enough must share one among their first |x| - ceil(t |x|) + 1.
     """
     exploded = reps.select("rep", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
-    frequency = exploded.groupBy("gram").agg(F.count("*").alias("df"))
-    ordered = exploded.join(frequency, "gram").groupBy("rep").agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("g"))
-    keep = F.col("n") - F.ceil(F.col("n") * tenths / 10).cast("int") + 1
-    prefix = ordered.select("rep", "n", F.explode(F.slice("g", 1, keep)).alias("x")).select("rep", "n", F.col("x.gram").alias("gram"), F.col("x.df").alias("df"))
-    prefix = prefix.where("df > 1").drop("df")
+    frequency = exploded.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")  # a shingle of one set joins nothing
+    known = exploded.join(frequency, "gram").groupBy("rep").agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("g"))
+    # The shingles of one set alone come first in the order, and use up places of the prefix.
+    keep = F.col("n") - F.ceil(F.col("n") * tenths / 10).cast("int") + 1 - (F.col("n") - F.size("g"))
+    prefix = known.where(keep > 0).select("rep", "n", F.explode(F.slice("g", 1, keep)).alias("x")).select("rep", "n", F.col("x.gram").alias("gram"))
     a = prefix.select("gram", F.col("rep").alias("src"), F.col("n").alias("na"))
     b = prefix.select("gram", F.col("rep").alias("dst"), F.col("n").alias("nb"))
     fits = (F.col("na") * 10 >= F.col("nb") * tenths) & (F.col("nb") * 10 >= F.col("na") * tenths)
@@ -125,6 +145,8 @@ def components(edges: DataFrame) -> DataFrame:
     e = edges.select("src", "dst").where("src <> dst")
     both = cut(e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
     label = cut(both.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("label")).select(F.col("src").alias("id"), "label"))
+    if label.isEmpty():
+        return label
     for _ in range(MAX_ROUNDS):
         near = both.join(label.select(F.col("id").alias("dst"), F.col("label").alias("other")), "dst").groupBy("src").agg(F.min("other").alias("other"))
         step = label.join(near.withColumnRenamed("src", "id"), "id").select("id", F.least("label", "other").alias("new"), "label")
@@ -137,10 +159,21 @@ def components(edges: DataFrame) -> DataFrame:
     raise RuntimeError("labels did not settle")
 
 
-def clusters(df: DataFrame, n: int = 5, num_hashes: int = 128, num_bands: int = 16, tenths: int = 8, key: str = "doc_id", column: str = "text") -> DataFrame:
-    """(key, cluster) of every document that is a near duplicate of another: the smallest key of its cluster."""
+def clusters(df: DataFrame, n: int = 5, tenths: int = 8, key: str = "doc_id", column: str = "text") -> DataFrame:
+    """(key, cluster) of every document that is a near duplicate of another: the smallest key of its cluster.
+
+    Links come from the exact join, so that none is lost to an unlucky signature.
+    """
+    reps, members = classes(grams(df, n, key, column), key)
+    label = components(similar_pairs(reps, tenths)).withColumnRenamed("id", "rep")
+    joined = members.join(label, "rep", "left").select(key, F.coalesce("label", "rep").alias("cluster"))
+    several = joined.groupBy("cluster").count().where("count > 1").select("cluster")
+    return joined.join(several, "cluster", "left_semi").select(key, "cluster")
+
+
+def lsh_clusters(df: DataFrame, n: int = 5, num_hashes: int = 128, num_bands: int = 16, tenths: int = 8, key: str = "doc_id", column: str = "text") -> DataFrame:
+    """clusters() with links from shared buckets only: cheaper, and a link of similarity s is lost with (1 - s^rows)^bands."""
     reps, members = classes(grams(df, n, key, column), key)
-    reps = cut(reps)
     pairs = verify(candidates(bands(minhash(reps, num_hashes, "rep"), num_bands, num_hashes, "rep"), "rep"), reps, tenths)
     label = components(pairs).withColumnRenamed("id", "rep")
     joined = members.join(label, "rep", "left").select(key, F.coalesce("label", "rep").alias("cluster"))

@@ -44,7 +44,7 @@ def dropped(line: Column, **kw) -> Column:
 
 def filter_lines(c: Column, **kw) -> Column:
     """The lines of a text that no rule drops, joined by line feeds."""
-    return F.array_join(F.filter(T.lines(c), lambda x: ~dropped(x, **kw)), "\n")
+    return F.array_join(F.filter(T.lines(c), lambda x: F.exists(F.array(x), lambda y: ~dropped(y, **kw))), "\n")
 
 
 def feed_lines(df: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
@@ -61,13 +61,19 @@ def line_counts(lines: DataFrame) -> DataFrame:
 def exact_line_dedup(df: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
     """(key, text) without any line that occurs more than once in the corpus.
 
-    Documents whose lines all go stay with an empty text; null texts too.
+    Documents whose lines all go stay with an empty text; null texts too.  Only
+    hashes and places of lines are shuffled; each document is then joined to the
+    places of the lines it keeps.  Blank lines, the hottest of all, are counted
+    by one sum instead of by their hash.
     """
-    lines = feed_lines(df, key, column).withColumn("h", F.sha2("stripped", 256))
-    once = line_counts(lines).where("cnt = 1").select("h")
-    kept = lines.join(once, "h", "left_semi")
-    joined = kept.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("_kept"))
-    return df.select(key).join(joined, key, "left").select(key, F.coalesce("_kept", F.lit("")).alias(column))
+    raw = feed_lines(df, key, column)
+    places = raw.select(key, "line_no", F.sha2("stripped", 256).alias("h"), (F.col("stripped") == "").alias("blank"))
+    filled = places.where(~F.col("blank")).groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct(key, "line_no")).alias("p")).where("n = 1").select(f"p.{key}", "p.line_no")
+    blank = places.where("blank").agg(F.count("*").alias("n"), F.min(F.struct(key, "line_no")).alias("p")).where("n = 1").select(f"p.{key}", "p.line_no")
+    kept = filled.unionByName(blank).groupBy(key).agg(F.array_sort(F.collect_list("line_no")).alias("_kept"))
+    lines = T.feed_lines(F.col(column))
+    text = F.array_join(F.transform("_kept", lambda i: F.element_at(lines, i + 1)), "\n")
+    return df.select(key, column).join(kept, key, "left").select(key, F.coalesce(text, F.lit("")).alias(column))
 
 
 def exact_doc_dedup(df: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
