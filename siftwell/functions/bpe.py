@@ -8,6 +8,7 @@ from functools import lru_cache
 
 import pandas as pd
 import regex
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 TOKENIZERS = "/opt/tokenizers"
@@ -18,50 +19,74 @@ PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 CACHE = 400_000
 
 
+def read_vocabulary(folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> bytes:
+    with open(os.path.join(folder, vocabulary), "rb") as f:
+        return f.read()
+
+
 @lru_cache(2)
 def encoding(folder: str = TOKENIZERS, vocabulary: str = VOCABULARY):
-    """The encoding of a vocabulary of ranks."""
+    """The encoding of a vocabulary of ranks, from its file."""
+    return encoding_of(vocabulary, read_vocabulary(folder, vocabulary))
+
+
+@lru_cache(2)
+def encoding_of(name: str, content: bytes):
+    """The encoding of the ranks in the content of a file."""
     import tiktoken
 
-    with open(os.path.join(folder, vocabulary), "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding(vocabulary, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines())}
+    return tiktoken.Encoding(name, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def shipped(folder: str, vocabulary: str):
+    """A function that gives the encoding on any executor: the file is read on the driver and broadcast (about a megabyte)."""
+    held = SparkSession.active().sparkContext.broadcast((vocabulary, read_vocabulary(folder, vocabulary)))
+    return lambda: encoding_of(*held.value)
 
 
 _pieces = regex.compile(PATTERN)
-_counts: dict[str, int] = {}
+_counts: dict[str, dict[str, int]] = {}
 
 
-def count(text: str, folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> int:
+def count_with(enc, text: str) -> int:
     """Tokens of a text.  Merges never cross pieces, so counts of pieces are kept."""
-    enc = encoding(folder, vocabulary)
+    known = _counts.setdefault(enc.name, {})
     total = 0
     for p in _pieces.findall(text):
-        n = _counts.get(p)
+        n = known.get(p)
         if n is None:
-            if len(_counts) > CACHE:
-                _counts.clear()
+            if len(known) > CACHE:
+                known.clear()
             n = len(enc.encode_ordinary(p))
             if len(p) < 64:
-                _counts[p] = n
+                known[p] = n
         total += n
     return total
 
 
+def count(text: str, folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> int:
+    """Tokens of a text."""
+    return count_with(encoding(folder, vocabulary), text)
+
+
 def token_counts(folder: str = TOKENIZERS, vocabulary: str = VOCABULARY):
     """Arrow UDF: tokens of each text; 0 for null."""
+    give = shipped(folder, vocabulary)
 
     def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([count(x, folder, vocabulary) if x else 0 for x in texts], dtype="int64")
+        enc = give()
+        return pd.Series([count_with(enc, x) if x else 0 for x in texts], dtype="int64")
 
     return F.pandas_udf(run, "bigint")
 
 
 def token_ids(folder: str = TOKENIZERS, vocabulary: str = VOCABULARY, eos: int | None = EOS):
     """Arrow UDF: token ids of each text, with an end mark; null for null."""
+    give = shipped(folder, vocabulary)
 
     def run(texts: pd.Series) -> pd.Series:
-        enc = encoding(folder, vocabulary)
+        enc = give()
         end = [] if eos is None else [eos]
         return pd.Series([None if x is None else enc.encode_ordinary(x) + end for x in texts], dtype=object)
 

@@ -1,8 +1,8 @@
-"""Token streams: offsets, packed binary files, training windows."""
+"""Token streams: offsets, packed binary files, training windows and batches."""
 
 from __future__ import annotations
 
-import os
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -11,6 +11,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siftwell.functions.bpe import EOS, TOKENIZERS, VOCABULARY, token_ids
+from siftwell.plans.lineage import cut
+from siftwell.sources.files import open_file
+
+TABLE = "_offsets"  # folder of the table of parts beside the packed files
 
 
 def token_stream(df: DataFrame, key: str = "doc_id", column: str = "text", folder: str = TOKENIZERS, vocabulary: str = VOCABULARY, eos: int | None = EOS) -> DataFrame:
@@ -19,18 +23,17 @@ def token_stream(df: DataFrame, key: str = "doc_id", column: str = "text", folde
     return df.where(F.col(column).isNotNull()).select(key, f(F.concat(F.col(column), F.lit("\n"))).alias("ids"))
 
 
-def offsets(df: DataFrame, length: str, key: str = "doc_id", buckets: int = 256) -> DataFrame:
+def offsets(df: DataFrame, length: str, key: str = "doc_id") -> DataFrame:
     """(key, length, start): running totals in the order of the key, without one task that sorts everything.
 
-    Ranges of the key get their totals first; running sums stay inside a range.
+    Keys and lengths are spread over ranges of about as many rows each, whatever
+    the keys are; the totals of the ranges come first, and running sums stay
+    inside a range.  The ranges are kept, so that a task that runs again finds
+    the same ones.
     """
-    lo, hi = df.agg(F.min(key), F.max(key)).first()
-    if lo is None:
-        return df.select(key, F.col(length), F.lit(0).cast("bigint").alias("start"))
-    step = max(1, (hi - lo) // buckets + 1)
-    d = df.withColumn("_b", F.floor((F.col(key) - F.lit(lo)) / F.lit(step)))
-    per = d.groupBy("_b").agg(F.sum(length).alias("_n"))
-    before = F.sum("_n").over(W.orderBy("_b").rowsBetween(W.unboundedPreceding, -1))  # at most ``buckets`` rows
+    d = cut(df.select(key, length).repartitionByRange(key).withColumn("_b", F.spark_partition_id()))
+    per = d.groupBy("_b").agg(F.sum(length).alias("_n"))  # a row per range
+    before = F.sum("_n").over(W.orderBy("_b").rowsBetween(W.unboundedPreceding, -1))
     per = per.select("_b", F.coalesce(before, F.lit(0)).alias("_before"))
     inside = F.sum(length).over(W.partitionBy("_b").orderBy(key).rowsBetween(W.unboundedPreceding, -1))
     return d.withColumn("_in", F.coalesce(inside, F.lit(0))).join(F.broadcast(per), "_b").select(key, F.col(length), (F.col("_before") + F.col("_in")).cast("bigint").alias("start"))
@@ -49,41 +52,90 @@ def windows(placed: DataFrame, length: str, context: int, key: str = "doc_id") -
     return w.select(F.col("window_id").cast("bigint").alias("window_id"), key, a.cast("bigint").alias("from_pos"), b.cast("bigint").alias("to_pos"))
 
 
-def write_packed(stream: DataFrame, path: str, key: str = "doc_id", vocabulary_size: int = 50257) -> None:
-    """One flat file of little-endian unsigned 16-bit ids per range of keys, named in the order of the keys."""
+def write_packed(stream: DataFrame, path: str, key: str = "doc_id", vocabulary_size: int = 50257) -> DataFrame:
+    """Flat files of little-endian unsigned 16-bit ids, one per range of keys, and their table (part, file, tokens, start).
+
+    ``path`` is a folder that all executors share (any file system that pyarrow
+    opens by its address).  Each write names its files anew and the table, which
+    is written last, says which count; files of earlier writes are read no more.
+    Parts in the order of the table are the stream in the order of the keys.
+    """
     if vocabulary_size > 65536:
         raise ValueError("ids of this vocabulary do not fit in 16 bits")
-    os.makedirs(path, exist_ok=True)
+    run_id = uuid.uuid4().hex[:12]
 
     def run(batches):
         from pyspark import TaskContext
 
-        part = TaskContext.get().partitionId()
-        name, n = os.path.join(path, f"part-{part:06d}.bin"), 0
-        with open(name + ".tmp", "wb") as f:
+        context = TaskContext.get()
+        name, n = f"part-{run_id}-{context.partitionId():06d}-{context.attemptNumber()}.bin", 0
+        with open_file(f"{path.rstrip('/')}/{name}", write=True) as f:
             for pdf in batches:
                 for ids in pdf["ids"]:
                     f.write(np.asarray(ids, dtype="<u2").tobytes())
                     n += len(ids)
-        os.replace(name + ".tmp", name)  # a task that runs twice leaves one whole file
-        yield pd.DataFrame({"part": [part], "tokens": [n]})
+        yield pd.DataFrame({"part": [context.partitionId()], "file": [name], "tokens": [n]})
+
+    spark = stream.sparkSession
+    ordered = stream.repartitionByRange(key).sortWithinPartitions(key)
+    parts = cut(ordered.mapInPandas(run, "part int, file string, tokens long"))
+    before = F.sum("tokens").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1))  # a row per file
+    table = parts.where("tokens > 0").withColumn("start", F.coalesce(before, F.lit(0)))
+    table.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{TABLE}")
+    return packed_parts(spark, path)
 
-    parts = max(1, stream.rdd.getNumPartitions())
-    ordered = stream.repartitionByRange(parts, key).sortWithinPartitions(key)
-    ordered.mapInPandas(run, "part int, tokens long").count()
+
+def packed_parts(spark: SparkSession, path: str) -> DataFrame:
+    """(part, file, tokens, start) of packed files."""
+    return spark.read.parquet(f"{path.rstrip('/')}/{TABLE}")
 
 
 def read_packed(spark: SparkSession, path: str) -> DataFrame:
-    """(part, ids) of packed files, in the order of their names."""
-    def run(names: pd.Series, content: pd.Series) -> pd.Series:
-        return pd.Series([np.frombuffer(x, dtype="<u2").astype("int32") for x in content], dtype=object)
+    """(part, start, ids) of packed files; in the order of ``part`` they are the stream."""
+
+    def run(batches):
+        for pdf in batches:
+            for part, file, start in zip(pdf["part"], pdf["file"], pdf["start"]):
+                with open_file(f"{path.rstrip('/')}/{file}") as f:
+                    yield pd.DataFrame({"part": [part], "start": [start], "ids": [np.frombuffer(f.read(), dtype="<u2").astype("int32")]})
+
+    return packed_parts(spark, path).repartition("part").mapInPandas(run, "part int, start long, ids array<int>")
+
+
+def random_batches(spark: SparkSession, path: str, batches: int, size: int, context: int, seed: int) -> DataFrame:
+    """(batch, row, start, x, y): windows at seeded random starts of the packed stream; y is x one position on.
+
+    Starts are drawn by row; each window reads its own bytes, which may lie in
+    several files.  The table of files is what every task holds.
+    """
+    table = [(r["start"], r["tokens"], r["file"]) for r in packed_parts(spark, path).orderBy("part").collect()]  # a row per file
+    total = sum(n for _, n, _ in table)
+    if total <= context:
+        raise ValueError("the stream is shorter than a window")
+    begins = np.array([s for s, _, _ in table])
+
+    def cut_out(start: int) -> np.ndarray:
+        out, at, left = [], start, context + 1
+        i = int(np.searchsorted(begins, start, "right")) - 1
+        while left:
+            s, n, file = table[i]
+            take = min(left, s + n - at)
+            with open_file(f"{path.rstrip('/')}/{file}", at=2 * (at - s)) as f:
+                out.append(np.frombuffer(f.read(2 * take), dtype="<u2"))
+            at, left, i = at + take, left - take, i + 1
+        return np.concatenate(out).astype("int64")
+
+    def run(frames):
+        for pdf in frames:
+            w = [cut_out(s) for s in pdf["start"]]
+            yield pdf.assign(x=[a[:-1] for a in w], y=[a[1:] for a in w])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.bin").load(path)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("part"), F.pandas_udf(run, "array<int>")("path", "content").alias("ids"))
+    rows = spark.range(batches * size).select((F.col("id") / size).cast("int").alias("batch"), (F.col("id") % size).cast("int").alias("row"), F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(total - context)).alias("start"))
+    return rows.mapInPandas(run, "batch int, row int, start long, x array<bigint>, y array<bigint>")
 
 
 def batch(ids, size: int, context: int, seed: int):
-    """(x, y) arrays of ``size`` windows at seeded random starts of a stream; y is x one position on."""
+    """(x, y) arrays of ``size`` windows at seeded random starts of a stream in memory; y is x one position on."""
     ids = np.asarray(ids)
     if len(ids) <= context:
         raise ValueError("the stream is shorter than a window")

@@ -43,7 +43,8 @@ def labelled_line(label: Column, text: Column, max_len: int = 10_000) -> Column:
 
 def positive_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(value) of good examples from JSON lines with a text, and the lines that could not be read."""
-    raw = spark.read.schema("text string, _corrupt string").option("columnNameOfCorruptRecord", "_corrupt").json(path).cache()
+    parsed = F.from_json("value", "text string, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
+    raw = spark.read.text(path).select(parsed.alias("r")).select("r.*")
     good = raw.where(F.col("_corrupt").isNull() & F.col("text").isNotNull())
     return good.select(F.concat(F.lit("__label__good "), T.collapse(F.col("text"))).alias("value")), raw.where(F.col("_corrupt").isNotNull()).select("_corrupt")
 

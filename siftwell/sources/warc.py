@@ -1,19 +1,30 @@
-"""WARC and WET archives as a Spark data source: one partition per file, records streamed."""
+"""WARC and WET archives as a Spark data source: one partition per file, records streamed, with an audit.
+
+A record that cannot be read ends its file; what came before stays, and a last
+row with ``record_type`` "error" and the reason in ``error`` tells that the file
+is not whole.  audit() sums this up per file.
+"""
 
 from __future__ import annotations
 
-import glob
 import gzip
-import os
+import zlib
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-SCHEMA = "url string, record_type string, http_content_type string, content binary, source_file string"
+from siftwell.sources.files import find_files, open_file
+
+SCHEMA = "url string, record_type string, http_content_type string, content binary, source_file string, record_no long, error string"
+
+
+class Broken(Exception):
+    """A record that cannot be read."""
 
 
 def records(stream):
-    """(headers, body) of each record; a broken record ends the file, what came before stays."""
+    """(headers, body) of each record; raises Broken where one is cut off or malformed."""
     while True:
         line = stream.readline()
         while line in (b"\r\n", b"\n"):
@@ -21,18 +32,18 @@ def records(stream):
         if not line:
             return
         if not line.startswith(b"WARC/"):
-            continue
+            raise Broken("no record where one should begin")
         headers: dict[str, str] = {}
         while (line := stream.readline()) not in (b"\r\n", b"\n", b""):
             name, _, value = line.decode("utf-8", "replace").partition(":")
             headers[name.strip().lower()] = value.strip()
         try:
-            size = int(headers.get("content-length", "0"))
+            size = int(headers.get("content-length", ""))
         except ValueError:
-            return
+            raise Broken("no length of content") from None
         body = stream.read(size)
         if len(body) < size:
-            return
+            raise Broken(f"{len(body)} of {size} bytes of content")
         yield headers, body
 
 
@@ -48,23 +59,28 @@ def split_http(body: bytes) -> tuple[str | None, bytes]:
 
 
 def open_archive(path: str, compression: str = "auto"):
-    with open(path, "rb") as f:
+    import io
+
+    with open_file(path) as f:
         magic = f.read(2)
     packed = compression == "gzip" or compression == "auto" and magic == b"\x1f\x8b"
-    return gzip.open(path, "rb") if packed else open(path, "rb")
+    stream = open_file(path)
+    return gzip.GzipFile(fileobj=stream) if packed else io.BufferedReader(stream)
 
 
 def rows(path: str, types: set[str], compression: str = "auto"):
-    with open_archive(path, compression) as stream:
-        try:
+    n = 0
+    try:
+        with open_archive(path, compression) as stream:
             for headers, body in records(stream):
+                n += 1
                 kind = headers.get("warc-type", "")
                 if types and kind not in types:
                     continue
                 content_type, payload = split_http(body) if kind == "response" else (None, body)
-                yield headers.get("warc-target-uri"), kind, content_type, payload, path
-        except (EOFError, OSError):
-            return
+                yield headers.get("warc-target-uri"), kind, content_type, payload, path, n, None
+    except (Broken, EOFError, OSError, zlib.error) as e:
+        yield None, "error", None, None, path, n + 1, f"{type(e).__name__}: {e}"
 
 
 class _File(InputPartition):
@@ -78,9 +94,7 @@ class _Reader(DataSourceReader):
         self.options = dict(options)
 
     def partitions(self):
-        path = self.options["path"]
-        found = sorted(glob.glob(os.path.join(path, "*")) if os.path.isdir(path) else glob.glob(path))
-        return [_File(p) for p in found if os.path.isfile(p)]
+        return [_File(p) for p in find_files(self.options["path"])]
 
     def read(self, partition):
         if partition is None:  # no file matched
@@ -105,3 +119,14 @@ class WarcSource(DataSource):
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(WarcSource)
+
+
+def audit(archives: DataFrame, kept: DataFrame | None = None, key: str = "doc_id") -> DataFrame:
+    """(source_file, records, broken, error, kept) of each archive: what was read, what failed, and what a stage kept.
+
+    ``kept`` holds the ``source_file`` of each document that came through.
+    """
+    per = archives.groupBy("source_file").agg(F.count_if(F.col("error").isNull()).alias("records"), F.count_if(F.col("error").isNotNull()).alias("broken"), F.max("error").alias("error"))
+    if kept is None:
+        return per
+    return per.join(kept.groupBy("source_file").agg(F.count("*").alias("kept")), "source_file", "left").withColumn("kept", F.coalesce("kept", F.lit(0)))
