@@ -11,6 +11,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p1_method(spark, d):
+    return boilerplate.template_lines(table(spark, d, "documents"), table(spark, d, "pages"))
+
+
 def p1_found(spark, d):
     return boilerplate.boilerplate_lines(table(spark, d, "documents"), table(spark, d, "pages"))
 
@@ -60,6 +64,11 @@ def p3_document_languages(spark, d):
     return languages.document_languages(table(spark, d, "documents"), table(spark, d, "pages"), table(spark, d, "lang_labels"))
 
 
+def p3_segments(spark, d):
+    t = languages.segments(table(spark, d, "documents"), table(spark, d, "pages"), table(spark, d, "lang_labels"))
+    return t.select("doc_id", "line_no", "lang", "confidence", "ambiguous")
+
+
 def p7_found(spark, d):
     return statistics.not_prose(table(spark, d, "documents"), table(spark, d, "pages"))
 
@@ -94,7 +103,7 @@ def p9_shares(spark, d):
     return mixing.shares(mixing.mix(table(spark, d, "documents"), targets), targets)
 
 
-QUERIES = {"p1_found": p1_found, "p1_main_content": p1_main_content, "p2_found": p2_found, "p2_masked": p2_masked, "p3_found": p3_found, "p3_document_languages": p3_document_languages, "p4_found": p4_found, "p5_found": p5_found, "p5_scores": p5_scores, "p5_site_rates": p5_site_rates, "p6_found": p6_found, "p6_every_file": p6_every_file, "p7_found": p7_found, "p7_statistics": p7_statistics, "p8_windows": p8_windows, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_without_residue": p10_without_residue}
+QUERIES = {"p1_method": p1_method, "p1_found": p1_found, "p1_main_content": p1_main_content, "p2_found": p2_found, "p2_masked": p2_masked, "p3_found": p3_found, "p3_document_languages": p3_document_languages, "p3_segments": p3_segments, "p4_found": p4_found, "p5_found": p5_found, "p5_scores": p5_scores, "p5_site_rates": p5_site_rates, "p6_found": p6_found, "p6_every_file": p6_every_file, "p7_found": p7_found, "p7_statistics": p7_statistics, "p8_windows": p8_windows, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_without_residue": p10_without_residue}
 
 SITE_SQL = "nullif(regexp_replace(regexp_extract(lower(trim(url)), '^(?:[a-z][a-z0-9+.\\-]*://)?(?:[^/@?#]*@)?([^/:?#]+)', 1), '^www\\.', ''), '')"
 

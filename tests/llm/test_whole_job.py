@@ -10,7 +10,7 @@ def test_small_hosts_keep_their_templates_among_many_pages(spark):
     few = [(100_000 + i, f"http://small{i // 3}.example/", f"<footer>imprint number {'abcdefghijklmnopqrst'[i // 3]} of our house</footer>") for i in range(60)]
     fitted = boilerplate.fit_templates(many.unionByName(spark.createDataFrame(few, PAGES)))
     found = {r.key for r in fitted.sites.where("value > 0").collect()}
-    assert {f"Fimprint number {x} of our house" for x in "abcdefghijklmnopqrst"} <= found
+    assert {boilerplate.digest(f"Fimprint number {x} of our house") for x in "abcdefghijklmnopqrst"} <= found
 
 
 def host_pages(spark):
@@ -32,6 +32,21 @@ def test_templates_hold_on_their_own_host(spark):
     assert found == {(0, 1), (0, 2), (1, 2), (3, 2), (9, 2)}
 
 
+def test_shared_templates_beyond_the_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(boilerplate, "SHARED", 0)
+    assert boilerplate.fit_templates(host_pages(spark)[2]).common == {}
+    test_templates_hold_on_their_own_host(spark)
+    test_long_lines_are_looked_up_whole(spark)
+
+
+def test_elements_of_several_blocks_cover_runs_of_lines(spark):
+    rows = [(i, "http://a.example/", f"<nav><ul><li>Visit us in the old mill by the river</li><li>Closed on the second day of {x}</li></ul></nav><p>The mill {x}.</p>") for i, x in enumerate(("spring", "spring", "spring", "autumn"))]
+    many = [(10 + i, "http://a.example/", f"<p>Closed on the second day of {x}</p>") for i, x in enumerate(("winter", "summer", "may"))]
+    docs = spark.createDataFrame([(1, "Visit us in the old mill by the river\nClosed on the second day of spring\nText here", "http://a.example/x"), (2, "Closed on the second day of spring", "http://a.example/y")], "doc_id long, text string, url string")
+    found = {(r.doc_id, r.line_no) for r in boilerplate.template_lines(docs, spark.createDataFrame(rows + many, PAGES)).collect()}
+    assert {(1, 1), (1, 2)} <= found
+
+
 def test_a_large_site_is_spread_with_its_templates(spark, monkeypatch):
     monkeypatch.setattr(boilerplate, "SITE_PART", 2)
     notice, _, pages = host_pages(spark)
