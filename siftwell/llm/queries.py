@@ -28,6 +28,19 @@ def p4_found(spark, d):
     return site_lines.repeated_lines(table(spark, d, "documents"))
 
 
+def p4_method(spark, d):
+    return site_lines.template_lines(table(spark, d, "documents"))
+
+
+def p4_clean_text(spark, d):
+    documents = table(spark, d, "documents")
+    return site_lines.without_lines(documents, site_lines.repeated_lines(documents)).select("doc_id", "text")
+
+
+def p4_counted_lines(spark, d):
+    return site_lines.counted_lines(table(spark, d, "documents"), table(spark, d, "hash_cnt"))
+
+
 def p5_found(spark, d):
     return abuse.abusive(table(spark, d, "documents"), table(spark, d, "labels"))
 
@@ -103,7 +116,7 @@ def p9_shares(spark, d):
     return mixing.shares(mixing.mix(table(spark, d, "documents"), targets), targets)
 
 
-QUERIES = {"p1_method": p1_method, "p1_found": p1_found, "p1_main_content": p1_main_content, "p2_found": p2_found, "p2_masked": p2_masked, "p3_found": p3_found, "p3_document_languages": p3_document_languages, "p3_segments": p3_segments, "p4_found": p4_found, "p5_found": p5_found, "p5_scores": p5_scores, "p5_site_rates": p5_site_rates, "p6_found": p6_found, "p6_every_file": p6_every_file, "p7_found": p7_found, "p7_statistics": p7_statistics, "p8_windows": p8_windows, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_without_residue": p10_without_residue}
+QUERIES = {"p1_method": p1_method, "p1_found": p1_found, "p1_main_content": p1_main_content, "p2_found": p2_found, "p2_masked": p2_masked, "p3_found": p3_found, "p3_document_languages": p3_document_languages, "p3_segments": p3_segments, "p4_method": p4_method, "p4_found": p4_found, "p4_clean_text": p4_clean_text, "p4_counted_lines": p4_counted_lines, "p5_found": p5_found, "p5_scores": p5_scores, "p5_site_rates": p5_site_rates, "p6_found": p6_found, "p6_every_file": p6_every_file, "p7_found": p7_found, "p7_statistics": p7_statistics, "p8_windows": p8_windows, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_without_residue": p10_without_residue}
 
 SITE_SQL = "nullif(regexp_replace(regexp_extract(lower(trim(url)), '^(?:[a-z][a-z0-9+.\\-]*://)?(?:[^/@?#]*@)?([^/:?#]+)', 1), '^www\\.', ''), '')"
 
@@ -126,8 +139,25 @@ g(u, v) AS (SELECT DISTINCT u, u FROM s UNION SELECT g.u, s.v FROM g JOIN s ON g
 m AS (SELECT u AS path, min(v) AS group_path FROM g GROUP BY u)
 """
 
+P4_CLEAN = f"""
+WITH p4 AS ({P4_SQL}), g AS (SELECT doc_id, list(line_no) AS gone FROM p4 GROUP BY doc_id),
+t AS (SELECT doc_id, text, gone, string_split(text, chr(10)) AS l FROM documents LEFT JOIN g USING (doc_id))
+SELECT doc_id, CASE WHEN gone IS NULL THEN text ELSE array_to_string(list_filter(list_transform(generate_series(1, len(l)), lambda i: CASE WHEN list_contains(gone, i) THEN NULL ELSE l[i] END), lambda x: x IS NOT NULL), chr(10)) END AS text FROM t
+"""
+
+P4_COUNTED = f"""
+WITH h AS (SELECT shard, site, lower(trim(hash)) AS hash, max(struct_pack(counted_at := counted_at, cnt := cnt)) AS m FROM hash_cnt WHERE site IS NOT NULL AND hash IS NOT NULL GROUP BY ALL),
+c AS (SELECT site, hash, sum(coalesce(m.cnt, 0))::BIGINT AS cnt FROM h GROUP BY ALL),
+d AS (SELECT doc_id, {SITE_SQL} AS site, text FROM documents WHERE text <> ''),
+l AS (SELECT doc_id, site, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM d WHERE site IS NOT NULL),
+k AS (SELECT doc_id, site, line_no, regexp_replace(line, '\\A[\\t-\\r ]+|[\\t-\\r ]+\\z', '', 'g') AS s FROM l)
+SELECT doc_id, line_no::INTEGER AS line_no, cnt FROM k JOIN c ON k.site = c.site AND c.hash = sha256(k.s) WHERE s <> '' AND cnt >= 5
+"""
+
 SQL = {
     "p4_found": P4_SQL,
+    "p4_clean_text": P4_CLEAN,
+    "p4_counted_lines": P4_COUNTED,
     "p6_found": f"WITH RECURSIVE {P6_LINKS} SELECT path, group_path FROM m",
     "p6_every_file": f"""WITH RECURSIVE {P6_LINKS},
         a AS (SELECT lower(trim(regexp_extract(path, '[^/]*$'), chr(32)||chr(9)||chr(10)||chr(13))) AS path FROM signature UNION SELECT lower(trim(regexp_extract(doc, '[^/]*$'), chr(32)||chr(9)||chr(10)||chr(13))) FROM bands)

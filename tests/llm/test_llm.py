@@ -114,6 +114,35 @@ def test_site_lines_equal_brute_force(spark):
     df = docs(spark, [(t, s and f"http://www.{s}/p") for t, s in rows])
     assert {(r.doc_id, r.line_no) for r in site_lines.repeated_lines(df).collect()} == brute_site_lines(rows)
     assert site_lines.repeated_lines(df.limit(0)).count() == 0
+    found = brute_site_lines(rows)
+    clean = {r.doc_id: r.text for r in site_lines.without_lines(df, site_lines.repeated_lines(df)).collect()}
+    for i, (t, _) in enumerate(rows):
+        assert clean[i] == (t and "\n".join(x for n, x in enumerate(t.split("\n"), 1) if (i, n) not in found))
+
+
+def test_line_templates_have_slots(spark, monkeypatch):
+    monkeypatch.setattr(site_lines, "LINES", 3)  # leaves come in several parts
+    people = "amber birch cedar daisy ember fern grove hazel iris juniper".split()
+    rows = [(f"Story written for you by {p} of this paper\nown {p} text that {p} wrote {i}", f"http://a.example/{i}") for i, p in enumerate(people)]
+    rows += [("Short", "http://a.example/x"), (None, "http://a.example/y"), ("Story written for you by nobody of this paper", None), ("Story written for you by jasmine of this paper", "http://b.example/")]
+    df = docs(spark, rows)
+    _, templates = site_lines.covering_templates(df)
+    assert {(r.site, r.template, r.n) for r in templates.collect()} == {("a.example", "story written for you by * of this paper", 10)}
+    assert {(r.doc_id, r.line_no) for r in site_lines.template_lines(df).collect()} == {(i, 1) for i in range(10)}
+    assert site_lines.template_lines(df.limit(0)).count() == 0
+
+
+def test_counted_hashes(spark):
+    import hashlib
+    from datetime import datetime
+
+    h = hashlib.sha256(b"Share this").hexdigest()
+    at = lambda n: datetime(2024, 1, n)
+    rows = [(h, 9, "a.example", 0, at(1)), (h.upper(), 3, "a.example", 0, at(2)), (h, 4, "a.example", 1, at(1)), (h, 4, "a.example", 1, at(1)), (h, None, "a.example", 2, at(1)), (h, 50, None, 0, at(1)), (None, 1, "a.example", 0, at(1))]
+    counts = spark.createDataFrame(rows, "hash string, cnt int, site string, shard int, counted_at timestamp")
+    assert [(r.site, r.hash, r.cnt) for r in site_lines.counted_hashes(counts).collect()] == [("a.example", h, 7)]
+    df = docs(spark, [("x\n  Share this \n", "http://www.a.example/"), ("Share this", "http://b.example/"), (None, "http://a.example/")])
+    assert [(r.doc_id, r.line_no, r.cnt) for r in site_lines.counted_lines(df, counts).collect()] == [(0, 2, 7)]
 
 
 def test_components_equal_union_find(spark):
