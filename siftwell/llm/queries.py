@@ -113,7 +113,7 @@ def p9_mix(spark, d):
 
 def p9_shares(spark, d):
     targets = table(spark, d, "source_targets")
-    return mixing.shares(mixing.mix(table(spark, d, "documents"), targets), targets)
+    return mixing.shares(mixing.mixed(table(spark, d, "documents"), targets), targets)
 
 
 QUERIES = {"p1_method": p1_method, "p1_found": p1_found, "p1_main_content": p1_main_content, "p2_found": p2_found, "p2_masked": p2_masked, "p3_found": p3_found, "p3_document_languages": p3_document_languages, "p3_segments": p3_segments, "p4_method": p4_method, "p4_found": p4_found, "p4_clean_text": p4_clean_text, "p4_counted_lines": p4_counted_lines, "p5_found": p5_found, "p5_scores": p5_scores, "p5_site_rates": p5_site_rates, "p6_found": p6_found, "p6_every_file": p6_every_file, "p7_found": p7_found, "p7_statistics": p7_statistics, "p8_windows": p8_windows, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_without_residue": p10_without_residue}

@@ -201,17 +201,34 @@ def test_windows(spark, small):
 def test_mixing(spark):
     rows = [("alpha words here " * 5, None, None, "a")] * 60 + [("beta words there " * 5, None, None, "b")] * 20 + [(None, None, None, "a"), ("", None, None, None), ("gamma", None, None, "zzz")]
     targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.4, 2), ("none", 0.1, 3), (None, 0.1, 1)], "source string, target_share double, max_repeats int")
-    mixed = mixing.mix(docs(spark, rows), targets)
+    mixed = mixing.mixed(docs(spark, rows), targets)
     share = {r.source: r for r in mixing.shares(mixed, targets).collect()}
     assert abs(share["a"].share - 5 / 9) < 0.03 and abs(share["b"].share - 4 / 9) < 0.03 and share["none"].tokens == 0
+    assert abs(share["a"].expected_share - 5 / 9) < 0.03
     assert share["a"].most_copies <= 1 and share["b"].most_copies <= 2 and share["zzz"].copies == 0
-    assert mixed.count() == len(rows)
+    assert mixed.count() == len(rows) == mixing.mix(docs(spark, rows), targets).count()
+    assert mixing.mix(docs(spark, rows).limit(0), targets).count() == 0
 
 
-def test_rates_meet_targets():
-    tokens, member = np.array([100.0, 300.0, 50.0]), np.array([[1, 0], [0, 1], [0.5, 0.5]])
-    r = mixing.fit_rates(tokens, member, np.array([1.0, 1.0, 1.0]), np.array([0.5, 0.5]), 200.0)
-    assert np.allclose((r * tokens) @ member, [100, 100], atol=1)
+def test_a_small_source_does_not_shrink_the_mix():
+    assert mixing.mix_size([1000.0, 5.0], [0.98, 0.02]) > 900
+    assert abs(mixing.mix_size([100.0, 100.0], [0.5, 0.5], 0.0) - 200) < 1
+
+
+def test_rates_meet_targets(spark):
+    rows = [([64, 0], 100.0, 0.2, 1.0), ([0, 64], 300.0, 0.1, 1.0), ([32, 32], 50.0, 0.0, 1.0)]
+    cells = spark.createDataFrame(rows, "parts array<int>, tokens double, first double, cap double")
+    steps = mixing.fit_rates(cells, [0.5, 0.5], 200.0, 200)
+    r = [x.r for x in cells.select(mixing.rate_after(steps, F.col("first"), F.col("cap"), F.col("parts")).alias("r")).collect()]
+    got = (np.array([t for _, t, _, _ in rows]) * r) @ (np.array([p for p, _, _, _ in rows]) / 64)
+    assert np.allclose(got, [100, 100], atol=1) and min(r) >= 0 and max(r) <= 1
+
+
+def test_unlabelled_documents_fill_a_short_domain(spark):
+    rows = [("alpha words here " * 5, None, None, "a")] * 40 + [("beta things there " * 5, None, None, "b")] * 5 + [("beta things there " * 5,)] * 20
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 1)], "source string, target_share double, max_repeats int")
+    share = {r.source: r for r in mixing.shares(mixing.mixed(docs(spark, rows), targets, size=600), targets).collect()}
+    assert share["b"].share < 0.4 and abs(share["b"].expected_share - 0.5) < 0.06 and share[None].tokens > 0
 
 
 NAMES = [("Corvin", "given"), ("Hazel", "given"), *[(h + t, "surname") for h in ("Alder", "Brack", "Kess") for t in ("moor", "bury", "wick")]]
