@@ -24,6 +24,7 @@ from siftwell.functions.bpe import TOKENIZERS, VOCABULARY, token_counts
 
 CAPACITY = 2048
 BLOCK = 4096  # documents of a block, on average
+TASKS = 20_000
 
 
 def best_fill(room: int, counts: dict[int, int], lengths: list[int]) -> list[tuple[int, int]]:
@@ -122,7 +123,8 @@ def windows(documents: DataFrame, capacity: int = CAPACITY, block: int = BLOCK,
     blocks = max(1, math.ceil(documents.count() / block))
     sized = documents.select("doc_id", token_counts(folder, vocabulary)("text").alias("n_tokens"))
     sized = sized.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)))
-    return sized.groupBy("block").applyInPandas(_fill(capacity), "doc_id long, piece int, n_tokens long, block long, window long")
+    # As many tasks as there are blocks, up to TASKS: left to itself, the plan puts small rows of all blocks into one.
+    return sized.repartition(min(blocks, TASKS), "block").groupBy("block").applyInPandas(_fill(capacity), "doc_id long, piece int, n_tokens long, block long, window long")
 
 
 def fill_report(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
