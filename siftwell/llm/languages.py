@@ -7,9 +7,16 @@ next codeword gives the confidence, and a small gap flags ambiguity.  A word
 adds the same amount to every margin wherever it stands, so the margins of a
 text are sums over its words.
 
+Addresses, links and tokens with figures are no words of any language.  A
+document has the language of most of its words; a further language counts for it
+only by a paragraph that is long enough (CLEAR_WORDS) and far enough from every
+other codeword (CLEAR), so that a quoted phrase, a contact line or a notice
+follows the document it stands in.
+
 The classifiers are fitted on a bounded sample of documents with a usable label
-(SAMPLE rows by hash); a second round leaves out lines that disagree with the
-first, since labels can be wrong.  Null and empty texts have no language.
+(about SAMPLE, by hash, as many of each language); a second round leaves out
+lines that disagree with the first, since labels can be wrong.  Null and empty
+texts have no language.
 """
 
 from __future__ import annotations
@@ -32,7 +39,10 @@ BITS = 15
 STEPS = 50
 MOST_LINES = 500  # lines of a language that are fitted, at most
 WORDS = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
-AMBIGUOUS = 0.5
+ADDRESS = re.compile(r"[@＠\d]|://|[(\[{](?:at|dot)[)\]}]|[^\W\d_]{2}\.[^\W\d_]{2}", re.I)
+AMBIGUOUS = 0.5  # confidence below which a segment is ambiguous
+FEW = 3  # words below which it is ambiguous whatever its confidence
+CLEAR, CLEAR_WORDS = 0.95, 12  # what a paragraph needs to bring a further language into a document
 
 
 def codewords(n: int, bits: int = BITS, seed: int = 7) -> np.ndarray:
@@ -72,7 +82,7 @@ class Coder:
     def _id(self, token: str) -> int:
         """Place of a token between white space: the margins of its words, and their number."""
         row = np.zeros(BITS + 1, np.float32)
-        for w in tokenize(token):
+        for w in () if ADDRESS.search(token) else tokenize(token):
             b = grams(w)
             row[:BITS] += self.weights[b].sum(0) / np.sqrt(len(b))
             row[BITS] += 1
@@ -86,7 +96,7 @@ class Coder:
             self.index.clear()
             self.rows.clear()
             self.table = self.table[:0]
-        tokens = [t.split() for t in texts]
+        tokens = [t.lower().split() for t in texts]
         n = np.array([len(t) for t in tokens])
         flat = [x for t in tokens for x in t]
         ids = np.array([self._id(x) if i is None and x not in self.index else self.index[x] if i is None else i for i, x in zip(map(self.index.get, flat), flat)], dtype=np.int64)
@@ -118,7 +128,7 @@ def fit(rows: list[tuple[str, str]]) -> dict:
     known: dict[str, list[int]] = {}
     x = np.zeros((len(rows), BUCKETS), np.float32)
     for i, (text, _) in enumerate(rows):
-        words = tokenize(text)[:60]
+        words = tokenize(text)
         for w in words:
             b = known.get(w)
             if b is None:
@@ -159,29 +169,30 @@ def _training(pdf, ts, _):
     for text, host, lang, t in zip(pdf["text"], pdf["site"], pdf["code"], ts):
         for _, x in sentence_lines(body_of(text, host, t)):
             if len(x) > 60:
-                rows.append((x[:400], lang))
+                rows.append((x, lang))
     return pd.DataFrame(rows, columns=["line", "code"])
 
 
 def train(documents: DataFrame, labels: DataFrame, templates, sample: int = SAMPLE) -> dict:
-    """Bit classifiers from at most ``sample`` labelled documents: those with the smallest hashes of each language."""
-    labelled = documents.join(F.broadcast(labels), documents["lang"] == labels["label"]).where(F.col("text") != "")
-    labelled = labelled.select("doc_id", labels["lang"].alias("code"), F.xxhash64("doc_id").alias("h"))
-    per = max(sample // max(labels.select("lang").distinct().count(), 1), 1)
-    ids = None
-    for (code,) in labels.select("lang").distinct().collect():
-        part = labelled.where(F.col("code") == code).orderBy("h").limit(per)
-        ids = part if ids is None else ids.unionByName(part)
-    rows = documents.join(F.broadcast(ids.select("doc_id", "code")), "doc_id").select("doc_id", "text", site(F.col("url")).alias("site"), "code")
+    """Bit classifiers from about ``sample`` labelled documents: as many of each language, chosen by hash."""
+    coded = documents.join(F.broadcast(labels.select("label", F.col("lang").alias("code"))), documents["lang"] == F.col("label")).where(F.col("text") != "")
+    sizes = {r["code"]: r["count"] for r in coded.groupBy("code").count().collect()}  # one row per language
+    if not sizes:
+        return {}
+    per, bar = max(sample // len(sizes), 1), F.lit(0)
+    for code, n in sizes.items():
+        bar = F.when(F.col("code") == code, int(min(1.0, per / n) * (1 << 30))).otherwise(bar)
+    chosen = coded.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < bar)
+    rows = chosen.select("doc_id", "text", site(F.col("url")).alias("site"), "code")
     lines = by_site(rows, templates, _training, "line string, code string").toPandas()
-    chosen: list[tuple[str, str]] = []
-    for code, part in lines.sort_values(["code", "line"]).groupby("code"):
+    drawn: list[tuple[str, str]] = []
+    for _code, part in lines.sort_values(["code", "line"]).groupby("code"):
         part = part.sample(min(len(part), MOST_LINES), random_state=1)
-        chosen += list(zip(part["line"], part["code"]))
-    return fit(chosen)
+        drawn += list(zip(part["line"], part["code"]))
+    return fit(drawn)
 
 
-SEGMENT_FIELDS = "doc_id long, line_no int, lang string, confidence double, ambiguous boolean, junk boolean"
+SEGMENT_FIELDS = "doc_id long, line_no int, lang string, confidence double, words int, ambiguous boolean, junk boolean"
 
 
 def _segments(pdf, ts, value):
@@ -201,11 +212,11 @@ def _segments(pdf, ts, value):
                 nos.append(no)
                 texts.append(x)
                 junk.append(out)
-    margins, n = value.coder.margins(texts) if texts else (np.zeros((0, BITS)), np.zeros(0))
+    margins, n = value.coder.margins(texts) if texts else (np.zeros((0, BITS)), np.zeros(0, int))
     best, sure = value.coder.decode(margins) if texts else (np.zeros(0, int), np.zeros(0))
     langs = np.array(value.coder.langs, dtype=object)
-    ok = (n >= 3) & ((sure >= AMBIGUOUS) | (n >= 8))
-    return pd.DataFrame({"doc_id": pd.Series(ids, dtype="int64"), "line_no": pd.Series(nos, dtype="int32"), "lang": pd.Series(langs[best] if len(texts) else [], dtype=object), "confidence": pd.Series(np.round(sure, 4), dtype="float64"), "ambiguous": pd.Series(sure < AMBIGUOUS, dtype=bool), "junk": pd.Series(junk, dtype=bool)})[ok]
+    out = {"doc_id": pd.Series(ids, dtype="int64"), "line_no": pd.Series(nos, dtype="int32"), "lang": pd.Series(langs[best] if len(texts) else [], dtype=object), "confidence": pd.Series(np.round(sure, 4), dtype="float64"), "words": pd.Series(n, dtype="int32")}
+    return pd.DataFrame(out | {"ambiguous": pd.Series((sure < AMBIGUOUS) | (n < FEW), dtype=bool), "junk": pd.Series(junk, dtype=bool)})[n > 0]
 
 
 class Both:
@@ -226,21 +237,30 @@ def segments(documents: DataFrame, pages: DataFrame, labels: DataFrame, sample:
     return by_site(rows, templates, _segments, SEGMENT_FIELDS, {"templates": templates.common, "model": model}, Both)
 
 
+def per_language(seg: DataFrame) -> DataFrame:
+    """A row per document with its ``main`` language, that language's confidence, and all ``langs`` it has.
+
+    The main language has most of the words, weighted by confidence (ties: by
+    name); segments that are ambiguous vote only where there is no other.
+    """
+    sure = ~F.col("ambiguous")
+    per = seg.groupBy("doc_id", "lang").agg(
+        F.sum(F.when(sure, F.col("words") * F.col("confidence")).otherwise(0.0)).alias("w"), F.sum(F.col("words") * F.col("confidence")).alias("all"),
+        F.avg("confidence").alias("c"), F.max((F.col("confidence") >= CLEAR) & (F.col("words") >= CLEAR_WORDS) & sure).alias("clear"),
+    )
+    rows = per.groupBy("doc_id").agg(F.max(F.struct(F.round("w", 3).alias("w"), F.round("all", 3).alias("all"), "lang", "c")).alias("m"), F.collect_set(F.when(F.col("clear"), F.col("lang"))).alias("clear"))
+    return rows.select("doc_id", F.col("m.lang").alias("main"), F.round("m.c", 4).alias("confidence"), F.array_union(F.array("m.lang"), "clear").alias("langs"))
+
+
 def found(documents: DataFrame, pages: DataFrame, labels: DataFrame, **kw) -> DataFrame:
     """(doc_id, lang) of documents whose label is missing or wrong, or whose body is mixed."""
-    seg = segments(documents, pages, labels, **kw).where(~F.col("junk"))
-    per = seg.groupBy("doc_id", "lang").agg(F.count("*").alias("n"), F.max("confidence").alias("c"))
+    whole = per_language(segments(documents, pages, labels, **kw).where(~F.col("junk")))
     label = documents.select("doc_id", F.col("lang").alias("label")).join(F.broadcast(labels.select("label", F.col("lang").alias("code"))), "label", "left").select("doc_id", "code")
-    per = per.select("doc_id", "lang").join(label, "doc_id")
-    whole = per.groupBy("doc_id").agg(F.collect_set("lang").alias("langs"), F.first("code").alias("code"))
     case = F.col("code").isNull() | ~F.array_contains("langs", F.col("code")) | (F.size("langs") > 1)
-    return whole.where(case).select("doc_id", F.explode("langs").alias("lang"))
+    return whole.join(label, "doc_id").where(case).select("doc_id", F.explode("langs").alias("lang"))
 
 
 def document_languages(documents: DataFrame, pages: DataFrame, labels: DataFrame, **kw) -> DataFrame:
-    """doc_id, the language of most of its paragraphs (ties: the surer, then by name), confidence and number of languages."""
-    seg = segments(documents, pages, labels, **kw)
-    per = seg.groupBy("doc_id", "lang").agg(F.count("*").alias("n"), F.avg("confidence").alias("c"))
-    best = per.groupBy("doc_id").agg(F.max(F.struct("n", "c", "lang")).alias("b"), F.count("*").alias("n_langs"))
-    out = documents.select("doc_id").join(best, "doc_id", "left")
-    return out.select("doc_id", F.col("b.lang").alias("lang"), F.round("b.c", 4).alias("confidence"), F.coalesce("n_langs", F.lit(0)).alias("n_langs"))
+    """doc_id, its main language, confidence and number of languages; null and 0 where it has no paragraph."""
+    rows = per_language(segments(documents, pages, labels, **kw))
+    return documents.select("doc_id").join(rows, "doc_id", "left").select("doc_id", F.col("main").alias("lang"), "confidence", F.coalesce(F.size("langs"), F.lit(0)).alias("n_langs"))
