@@ -25,7 +25,7 @@ import re
 import uuid
 from collections import defaultdict
 from functools import lru_cache
-from html.parser import HTMLParser
+from html import unescape
 from typing import NamedTuple
 
 import pandas as pd
@@ -128,50 +128,64 @@ def keys(line: str) -> tuple[tuple[str, str], ...]:
     return tuple(found)
 
 
-class _Elements(HTMLParser):
-    """Text of each block element, with whether it stands in the body of the page (None: unknown)."""
+MARKUP = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<(?P<raw>script|style)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-z][a-z0-9]*)(?P<attrs>(?:"[^"]*"|'[^']*'|[^'">])*)>|(?P<text>[^<]+|<)""",
+    re.I | re.S,
+)
+CLASS = re.compile(r"""\bclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+
+
+class Page:
+    """Text of each block element, with whether it stands in the body of the page (None: unknown), and the elements of several blocks."""
 
-    BLOCKS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "div", "li", "footer", "header", "nav", "aside", "td", "th", "section", "article", "ul", "ol", "table", "tr", "main", "br", "body", "blockquote", "pre"}
-    SKIP = {"script", "style", "title", "head", "noscript"}
-    PLAIN = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "td", "th", "li", "blockquote", "pre"}
-    OUTER = {"nav", "footer", "header", "aside"}
+    BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 div li footer header nav aside td th section article ul ol table tr main br body blockquote pre".split())
+    SKIP = frozenset("title head noscript".split())
+    VOID = frozenset("br img meta link input hr".split())
+    PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 td th li blockquote pre".split())
+    OUTER = frozenset("nav footer header aside".split())
 
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
+    def __init__(self, html: str) -> None:
         self.out: list[tuple[str, bool | None]] = []
+        self.trees: list[tuple[list[str], bool]] = []
         self.stack: list[tuple[str, str, int]] = []  # tag, class, blocks before
         self.buffer: list[str] = []
-        self.trees: list[tuple[list[str], bool]] = []  # blocks of each element that holds several
+        hidden = 0
+        for m in MARKUP.finditer(html):
+            text = m["text"]
+            if text is not None:
+                if not hidden:
+                    self.buffer.append(unescape(text) if "&" in text else text)
+            elif m["tag"]:
+                tag = m["tag"].lower()
+                if tag in self.BLOCKS:
+                    self._flush()
+                if m["end"]:
+                    self._end(tag)
+                elif tag not in self.VOID:
+                    self._start(tag, m["attrs"])
+                hidden = tag in self.SKIP and not m["end"] or hidden and any(t in self.SKIP for t, _, _ in self.stack)
+        self._flush()
 
     def _flush(self) -> None:
         text = "".join(self.buffer).strip()
-        self.buffer = []
+        if self.buffer:
+            self.buffer = []
         if text:
-            tags = [t for t, _, _ in self.stack]
             inner = next(((t, c) for t, c, _ in reversed(self.stack) if t in self.BLOCKS), ("", ""))
-            outer = bool(self.OUTER & set(tags))
+            outer = any(t in self.OUTER for t, _, _ in self.stack)
             body = not outer and inner[0] in self.PLAIN and not inner[1]
             self.out.append((text, body if body or outer or inner[1] else None))
 
-    def handle_starttag(self, tag, attrs):
-        if tag in self.BLOCKS:
-            self._flush()
-        if tag in ("br", "img", "meta", "link", "input", "hr"):
-            return
+    def _start(self, tag: str, attrs: str) -> None:
         if tag == "p":
             while self.stack and self.stack[-1][0] == "p":
                 self.stack.pop()
-        self.stack.append((tag, dict(attrs).get("class") or "", len(self.out)))
+        m = CLASS.search(attrs) if "class" in attrs.lower() else None
+        self.stack.append((tag, next((x for x in m.groups() if x), "") if m else "", len(self.out)))
+        if attrs.endswith("/"):
+            self._end(tag)
 
-    def _closed(self, before: int) -> None:
-        """Keeps an element of several blocks that are all of the body or all outside it."""
-        inside = {b for _, b in self.out[before:]}
-        if len(self.out) - before > 1 and len(inside) == 1 and None not in inside:
-            self.trees.append(([t for t, _ in self.out[before:]], inside == {True}))
-
-    def handle_endtag(self, tag):
-        if tag in self.BLOCKS:
-            self._flush()
+    def _end(self, tag: str) -> None:
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
                 if tag in self.BLOCKS:
@@ -179,21 +193,15 @@ class _Elements(HTMLParser):
                 del self.stack[i:]
                 break
 
-    def handle_data(self, data):
-        if not any(t in self.SKIP for t, _, _ in self.stack):
-            self.buffer.append(data)
-
-
-def parsed(html: str) -> _Elements:
-    p = _Elements()
-    p.feed(html)
-    p.close()
-    p._flush()
-    return p
+    def _closed(self, before: int) -> None:
+        """Keeps an element of several blocks that are all of the body or all outside it."""
+        inside = {b for _, b in self.out[before:]}
+        if len(self.out) - before > 1 and len(inside) == 1 and None not in inside:
+            self.trees.append(([t for t, _ in self.out[before:]], inside == {True}))
 
 
 def elements(html: str) -> list[tuple[str, bool | None]]:
-    return parsed(html).out
+    return Page(html).out
 
 
 def site(url):
@@ -213,7 +221,7 @@ def _count(batches):
         for host, html in zip(pdf["site"], pdf["html"]):
             seen: dict[str, int] = {}
             starts: dict[str, str] = {}
-            page = parsed(html)
+            page = Page(html)
             for text, body in page.out:
                 if body is None or (body and DIGIT_LINE.search(text)):
                     continue

@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 from siftwell.llm.boilerplate import BODY, Templates, by_site, demote_scripts, fit_templates, scripts_notice, site
 from siftwell.llm.structure import COMMON, VOWELS
 
-# Phrases of error pages, filler and demands for scripts, lower case.
+# Phrases of error pages, filler and demands for scripts, lower case.
 PHRASES = (
     # errors and access
-    "page could not be found", "page you asked for does not exist", "does not exist or was moved", "page not found", "the server had an internal problem",
+    "page could not be found", "page you asked for does not exist", "does not exist or was moved", "page not found", "cannot find what you are looking for", "the server had an internal problem",
     "access denied.", "access denied", "you do not have permission to open this page", "too many requests.", "try again later.", "bad gateway",
     "upstream host sent no reply", "page unavailable", "not allowed to see this", "service unavailable", "error establishing a connection", "your session has ended", "session has expired",
     "this content is not available in your region", "this domain is parked", "the listing has expired", "this account has been suspended",
@@ -51,9 +51,9 @@ PHRASES = (
     "description to follow", "sample title", "insert title", "your headline goes here", "lorem ipsum", "ipsum lorem", "hier steht ein blindtext", "dies ist ein beispieltext",
     "ceci est un texte d'exemple", "texto de ejemplo", "texto de exemplo", "testo di esempio", "insert text here", "click here to edit", "coming soon.",
 )
-# What a failed rendering leaves behind.
+# What a failed rendering leaves behind.
 BROKEN = frozenset("undefined null nan none n/a array #ref! &nbsp; &nbsp [object object] #value! #n/a nil".split())
-# Words and signs without which no rule below can hold.
+# Words and signs without which no rule below can hold.
 TRACES = ("{", "<", "%", "@", "_", "$", "#", "[", "&nbsp", "undefined", "null", "nan", "none", "n/a", "array", "error", "fehler", "erreur", "errore", "erro", "ошибка", "oops", "whoops", "sorry", "ref", "err")
 CODED = re.compile(r"(?m)^[ \t]*[45]\d\d\s")
 FILLER = ("ipsum", "headline", "title", "text", "words", "summary")
@@ -120,16 +120,16 @@ def _covered(sentence: str, hit: bool) -> bool:
 
 
 def _broken(line: str) -> bool:
-    if len(line) > 400 or line[:9].lower().split(None, 1)[0].strip(".,;()") not in BROKEN and not line.startswith("[o"):
+    if line[:9].lower().split(None, 1)[0].strip(".,;()") not in BROKEN and not line.startswith("[o"):
         return False
     t = line.lower().replace("[object object]", "[object").split()
     return bool(t) and sum(x.strip(".,;()") in BROKEN or x == "[object" or x.strip("()").isdigit() for x in t) >= 0.8 * len(t) and any(not x.strip("()").isdigit() for x in t)
 
 
 def _pseudo(sentence: str) -> bool:
-    """Filler in no language: many different words, none of them a function word."""
-    w = sentence.lower().split()
-    if len(w) < 10 or 2 * len(set(w)) <= len(w) or sum(map(str.isalpha, w)) * 10 < 8 * len(w):
+    """Filler in no language: a sentence of many different words, none of them a function word."""
+    w = sentence.lower().rstrip(".!?… ").split()
+    if len(w) < 8 or not COMMON.isdisjoint(w) or 4 * len(set(w)) <= len(w) or sum(map(str.isalpha, w)) * 10 < 8 * len(w):
         return False
     return sum(bool(VOWELS.search(x)) for x in w) * 10 >= 9 * len(w) and len(VOWELS.findall(sentence)) * 4 > len(sentence) - len(w)
 
@@ -142,7 +142,7 @@ def residue(lines: list[str]) -> tuple[int, int]:
     auto = automaton()
     whole = "\n".join(lines)
     low = whole.lower()
-    foreign = not any(map(COMMON.__contains__, low.split()))  # no function word of any language
+    foreign = any([COMMON.isdisjoint(x) and len(x) > 7 for x in map(str.split, low.split("\n"))])  # a line without a function word of any language
     if not traced(low) and not CODED.search(whole) and not foreign:
         return 0, len(whole)
     covered = open_prose = fields = 0
@@ -163,7 +163,7 @@ def residue(lines: list[str]) -> tuple[int, int]:
             at = s.find(part, start)
             stop = at + len(part)
             hit = any(at <= e < stop for e in ends)
-            if _covered(part, hit) or foreign and _pseudo(part):
+            if _covered(part, hit) or foreign and PROSE_END.search(part) and _pseudo(part):
                 covered += len(part)
                 filler |= hit and any(x in low[at:stop] for x in FILLER)
             else:
@@ -185,6 +185,24 @@ def is_residue(lines: list[str]) -> bool:
     return covered > 0 and covered >= rest
 
 
+LEAST = 0.5  # share of a body that phrases must cover
+
+
+def coverage(lines: list[str]) -> float:
+    """Share of the characters of a body in sentences that hold a phrase of the automaton."""
+    covered = whole = 0
+    for raw in lines:
+        s = raw.replace("\xa0", " ").strip()
+        whole += len(s)
+        ends = [e for e, _ in automaton().iter(s.lower())]
+        at = 0
+        for part in PARTS.split(s) if ends else ():
+            start = s.find(part, at)
+            at = start + len(part)
+            covered += len(part) if any(start <= e < at for e in ends) else 0
+    return covered / whole if whole else 0.0
+
+
 def body_of(text: str | None, host: str | None, templates: Templates) -> list[tuple[int, str]]:
     """Numbered body lines."""
     if not text:
@@ -205,6 +223,17 @@ def scored(documents: DataFrame, pages: DataFrame) -> DataFrame:
     return by_site(rows, fit_templates(pages), run, "doc_id long, covered int, open_prose int")
 
 
+def covered_documents(documents: DataFrame, pages: DataFrame, least: float = LEAST) -> DataFrame:
+    """doc_id of the documents whose body the automaton's phrases cover by ``least`` or more; no rule beside it."""
+
+    def run(pdf, ts, _):
+        rows = [(d,) for d, text, host, t in zip(pdf["doc_id"], pdf["text"], pdf["site"], ts) if text and coverage([x for _, x in body_of(text, host, t)]) >= least]
+        return pd.DataFrame(rows, columns=["doc_id"]).astype({"doc_id": "int64"})
+
+    rows = documents.select("doc_id", "text", site(F.col("url")).alias("site"))
+    return by_site(rows, fit_templates(pages), run, "doc_id long")
+
+
 def residue_documents(documents: DataFrame, pages: DataFrame) -> DataFrame:
     """doc_id of the documents that are residue."""
     rows = scored(documents.select("doc_id", "text", "url"), pages)

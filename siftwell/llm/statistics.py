@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from siftwell.llm.boilerplate import by_site, fit_templates, site
 from siftwell.llm.residue import body_of, is_residue
-from siftwell.llm.structure import NAMES, line_profiles, structure
+from siftwell.llm.structure import NAMES, nearest_profiles, structure
 
 FIELDS = "prose_chars int, other_chars int, profile string, residue boolean"
 
@@ -21,7 +21,7 @@ def _profiles(pdf, ts, _):
     bodies = [body_of(x, h, t) if x else [] for x, h, t in zip(pdf["text"], pdf["site"], ts)]
     bodies = [[y for _, y in b] for b in bodies]
     flat = [y for b in bodies for y in b]
-    profiles = line_profiles(flat)[0]
+    profiles = nearest_profiles(flat)
     rows, at = [], 0
     for d, b in zip(pdf["doc_id"], bodies):
         prose, other, top = structure(b, profiles[at : at + len(b)])
@@ -43,7 +43,7 @@ def not_prose(documents: DataFrame, pages: DataFrame) -> DataFrame:
     return rows.where((F.col("other_chars") > F.col("prose_chars")) & ~F.col("residue")).select("doc_id")
 
 
-# Common words of the languages at hand.
+# Common words of the languages at hand.
 COMMON_WORDS = r"\b(?:the|of|and|to|in|der|die|und|das|den|la|de|el|que|le|les|et|il|di|che|o|os|da|e|y|и|в|на)\b"
 
 
