@@ -1,16 +1,15 @@
-"""Personal information in free text by a skip-chain conditional random field.
+"""Candidates of personal information in free text, and what speaks for them.
 
 Candidate spans of each kind come from shapes (addresses of mail and network,
 numbers, streets) and from words that are, or are built like, names.  Every
-candidate is a binary variable of the field.  Its own potential adds the weights
-of what it is made of and of the words around it; neighbours that overlap
+candidate is a binary variable: its own potential adds the weights of what it is
+made of and of the words around it (WEIGHTS, parameters); neighbours that overlap
 exclude each other; and skip edges join distant candidates that repeat a token,
-or have the same shape, so that what is clear in one place decides the other.
-Loopy message passing over these edges gives the marginals of each document.
+or have the same shape.  Loopy message passing gives the marginals from which
+the token field of ``chain`` is fitted.
 
-Weights are parameters (WEIGHTS).  The list of names is incomplete: surnames are
-also recognised by parts that several listed surnames share.  Null texts come
-out as null with zero counts; placeholders of an earlier masking stay.
+The list of names is incomplete: surnames are also recognised by parts that
+several listed surnames share.
 """
 
 from __future__ import annotations
@@ -21,11 +20,7 @@ from collections import Counter, defaultdict
 from functools import lru_cache
 
 import ahocorasick
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from siftwell.llm.boilerplate import Lazy, share
 
 KINDS = ("email", "phone", "id", "address", "name", "ip")
 PLACEHOLDERS = {"email": "[EMAIL]", "phone": "[PHONE]", "id": "[ID]", "address": "[ADDRESS]", "name": "[NAME]", "ip": "[IP]"}
@@ -68,7 +63,7 @@ ADDRESSES = (
     re.compile(r"\b(?:Calle|Rua|Via|Avenida) (?:de la |de |da |do |di |del )?\w+, n\.", re.I),
     re.compile(r"(?:\bул\.|\bулица|\bпр\.|\bпроспект) [\w\-]+,? (?:д\. ?)?\d+", re.I),
 )
-# What a line with an address holds, by the pattern it calls for.
+# What a line with an address holds, by the pattern it calls for.
 HINTS = {
     0: "street| st.| st |road| rd|lane|avenue| ave|blvd|boulevard|court|close|drive|terrace|square|crescent|place|gardens",
     1: " box |postfach|apartado|casella|caixa|boîte|b.p.| bp |а/я", 2: "straße|strasse|str. |weg |platz |allee |gasse |am |im |zum |zur |an der |auf dem ",
@@ -76,7 +71,7 @@ HINTS = {
     5: "calle |rua |via |avenida ", 6: "ул.|улица|пр.|проспект",
 }
 
-# Words around a span that speak for a kind.
+# Words around a span that speak for a kind.
 PHONE_CUE = re.compile(r"(?:\b(?:tel|tél|telefon|telephone|phone|fax|mobil|móvil|mobile|portable|cell|call|ring|line|llame|appelez|rufen|chiam\w*|ligue|телефон|тел|m|ext)\b[^\w]{0,4}(?:\w+ ){0,4}|☎ ?)$", re.I)
 ID_CUE = re.compile(r"\b(?:ssn|id|identity|identidad|identité|identidade|identità|passport|passeport|pasaporte|passaporto|reisepass|ausweis\w*|steuer\w*|tax\w*|fiscal\w*|insurance|versicherung\w*|dni|nif|nie|national|паспорт|инн|снилс)\b\W{0,3}(?:\w+\.?\W{1,2}){0,3}$", re.I)
 NOT_ID = re.compile(r"\b(?:order|part|isbn|release|version|serial|invoice|item|sku|bestell\w*|commande|pedido|pages?|took|ratio|between|years?|route|volume|model|part number|ref|error code)\b\W{0,3}(?:\w+\.?\W{1,2}){0,2}$", re.I)
@@ -89,7 +84,7 @@ PLACE_AFTER = re.compile(rf"^,? ?(?:{STREET_EN}|Bridge|Hall|Park|Valley|River|Hi
 PLACE_BEFORE = re.compile(r"(?:\b(?:Via|Viale|Piazza|Calle|Rua|rue|avenue|chemin|ул\.|near|in|at|from|to|of) (?:de la |de |du |des |da |di )?)$", re.I)
 SAID = re.compile(r"^,? (?:said|had|has|wrote|called|thinks|told|für die bilder|for the pictures|pour les photos|por las fotos|per le foto|pelas fotos)\b", re.I)
 
-# Log-odds that each observation adds.
+# Log-odds that each observation adds.
 WEIGHTS = {
     "email": 4.0, "ip": 2.5, "ip_version": -6.0, "phone_strong": 2.5, "phone_fair": 0.6, "phone_weak": -2.2, "phone_cue": 3.0, "id_strong": 2.2, "id_fair": 0.3,
     "id_weak": -2.0, "id_cue": 3.5, "not_id": -5.0, "address": 3.0, "full": 2.2, "given": -0.6, "surname": 0.7, "built": 0.3, "cue": 2.2, "byline": 2.5, "title": 3.0,
@@ -228,8 +223,8 @@ class Tagger:
             s += w["alone_start"]
         return s
 
-    def spans(self, text: str) -> list[tuple[int, int, str, float]]:
-        """(start, end, kind, marginal) of every candidate with a marginal above one half."""
+    def candidates(self, text: str) -> list[tuple]:
+        """(start, end, kind, potential, keys) of every candidate; keys are what skip edges join."""
         w = WEIGHTS
         c: list[tuple] = []
         low = text.lower()
@@ -266,10 +261,12 @@ class Tagger:
                         for m in ADDRESSES[at].finditer(text, lo, hi):
                             c.append((m.start(), m.end(), "address", w["address"], (m[0].lower(),)))
         taken = [(a, b) for a, b, k, s, _ in c if k in ("email", "address") and s > 0]
-        c = list(dict.fromkeys(c)) + self._names(text, taken)
-        if not c:
-            return []
-        p = marginals(c)
+        return list(dict.fromkeys(c)) + self._names(text, taken)
+
+    def spans(self, text: str) -> list[tuple[int, int, str, float]]:
+        """(start, end, kind, marginal) of every candidate with a marginal above one half."""
+        c = self.candidates(text)
+        p = marginals(c) if c else []
         return [(a, b, k, q) for (a, b, k, _, _), q in zip(c, p) if q > 0.5]
 
 
@@ -291,7 +288,7 @@ QUAD = re.compile(r"\d\.\d{1,3}\.\d{1,3}\.\d")
 COLONS = re.compile(r"(?:[0-9a-fA-F]{1,4}:){4}")
 LONG_NUMBER = re.compile(r"\d(?:[ .\-/()]{0,3}\d){5,}")
 NUMBERED = (("phone", PHONES), ("id", IDS))
-# Capitalised words before a surname that are no given name.
+# Capitalised words before a surname that are no given name.
 STOP = frozenset("the a an this that these our every by and but from with on in at to of for mr mrs ms dr herr frau mme sr sra sig der die das den ein eine von am im le la les un une par el los las por da di il lo route via calle rua rue posted best many signed questions meet met".split())
 
 
@@ -358,28 +355,6 @@ def tagger(person_names: DataFrame) -> list[tuple[str, str]]:
     return [(r["name"], r["kind"]) for r in person_names.select("name", "kind").collect()]
 
 
-def found(documents: DataFrame, person_names: DataFrame) -> DataFrame:
-    """(doc_id, line_no, kind) of each line and kind that the line holds."""
-    shared = share(documents.sparkSession, tagger(person_names))
-
-    def run(batches):
-        t = Lazy.of(shared, Tagger)
-        for pdf in batches:
-            ids, nos, kinds = [], [], []
-            for d, text in zip(pdf["doc_id"], pdf["text"]):
-                if not text:
-                    continue
-                spans = t.spans(text)
-                if spans:
-                    for no, kind in sorted({(text.count("\n", 0, a) + 1, k) for a, _, k, _ in spans}):
-                        ids.append(d)
-                        nos.append(no)
-                        kinds.append(kind)
-            yield pd.DataFrame({"doc_id": pd.Series(ids, dtype="int64"), "line_no": pd.Series(nos, dtype="int32"), "kind": pd.Series(kinds, dtype=object)})
-
-    return documents.where(F.col("text").isNotNull()).select("doc_id", "text").mapInPandas(run, "doc_id long, line_no int, kind string")
-
-
 def mask(text: str, spans: list[tuple[int, int, str, float]]) -> tuple[str, dict[str, int]]:
     """The text with placeholders, and counts by kind; of overlapping spans the likelier stays."""
     kept: list[tuple[int, int, str, float]] = []
@@ -393,23 +368,3 @@ def mask(text: str, spans: list[tuple[int, int, str, float]]) -> tuple[str, dict
         text = text[:a] + PLACEHOLDERS[k] + text[b:]
         counts[k] += 1
     return text, counts
-
-
-MASKED = "text string, email int, phone_numbers int, id_numbers int, addresses int, names int, ip_address int"
-
-
-def masked(documents: DataFrame, person_names: DataFrame) -> DataFrame:
-    """Documents with placeholders in ``text`` and right ``pii_counts``; the other columns stay."""
-    shared = share(documents.sparkSession, tagger(person_names))
-
-    def run(texts: pd.Series) -> pd.DataFrame:
-        t = Lazy.of(shared, Tagger)
-        rows = []
-        for x in texts:
-            y, n = mask(x, t.spans(x)) if x else (x, dict.fromkeys(KINDS, 0))
-            rows.append((y, n["email"], n["phone"], n["id"], n["address"], n["name"], n["ip"]))
-        return pd.DataFrame(rows, columns=["text", "email", "phone_numbers", "id_numbers", "addresses", "names", "ip_address"])
-
-    out = documents.withColumn("_m", F.pandas_udf(run, MASKED)("text"))
-    counts = F.struct(*[F.col(f"_m.{c}").alias(c) for c in ("email", "phone_numbers", "ip_address", "id_numbers", "addresses", "names")])
-    return out.withColumn("text", F.col("_m.text")).withColumn("pii_counts", counts).drop("_m")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftwell.llm import abuse, boilerplate, components, languages, mixing, packing, pii, residue, site_lines, statistics
+from siftwell.llm import abuse, boilerplate, chain, components, languages, mixing, packing, residue, site_lines, statistics
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,11 +62,11 @@ def p6_every_file(spark, d):
 
 
 def p2_found(spark, d):
-    return pii.found(table(spark, d, "documents"), table(spark, d, "person_names"))
+    return chain.found(table(spark, d, "documents"), table(spark, d, "person_names"))
 
 
 def p2_masked(spark, d):
-    return pii.masked(table(spark, d, "documents"), table(spark, d, "person_names")).select("doc_id", "text", "pii_counts")
+    return chain.masked(table(spark, d, "documents"), table(spark, d, "person_names")).select("doc_id", "text", "pii_counts")
 
 
 def p3_found(spark, d):
@@ -90,6 +90,10 @@ def p7_statistics(spark, d):
     return statistics.statistics(table(spark, d, "documents"), table(spark, d, "pages"))
 
 
+def p10_method(spark, d):
+    return residue.covered_documents(table(spark, d, "documents"), table(spark, d, "pages"))
+
+
 def p10_found(spark, d):
     return residue.residue_documents(table(spark, d, "documents"), table(spark, d, "pages"))
 
@@ -116,7 +120,7 @@ def p9_shares(spark, d):
     return mixing.shares(mixing.mixed(table(spark, d, "documents"), targets), targets)
 
 
-QUERIES = {"p1_method": p1_method, "p1_found": p1_found, "p1_main_content": p1_main_content, "p2_found": p2_found, "p2_masked": p2_masked, "p3_found": p3_found, "p3_document_languages": p3_document_languages, "p3_segments": p3_segments, "p4_method": p4_method, "p4_found": p4_found, "p4_clean_text": p4_clean_text, "p4_counted_lines": p4_counted_lines, "p5_found": p5_found, "p5_scores": p5_scores, "p5_site_rates": p5_site_rates, "p6_found": p6_found, "p6_every_file": p6_every_file, "p7_found": p7_found, "p7_statistics": p7_statistics, "p8_windows": p8_windows, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_without_residue": p10_without_residue}
+QUERIES = {"p1_method": p1_method, "p1_found": p1_found, "p1_main_content": p1_main_content, "p2_found": p2_found, "p2_masked": p2_masked, "p3_found": p3_found, "p3_document_languages": p3_document_languages, "p3_segments": p3_segments, "p4_method": p4_method, "p4_found": p4_found, "p4_clean_text": p4_clean_text, "p4_counted_lines": p4_counted_lines, "p5_found": p5_found, "p5_scores": p5_scores, "p5_site_rates": p5_site_rates, "p6_found": p6_found, "p6_every_file": p6_every_file, "p7_found": p7_found, "p7_statistics": p7_statistics, "p8_windows": p8_windows, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_method": p10_method, "p10_found": p10_found, "p10_without_residue": p10_without_residue}
 
 SITE_SQL = "nullif(regexp_replace(regexp_extract(lower(trim(url)), '^(?:[a-z][a-z0-9+.\\-]*://)?(?:[^/@?#]*@)?([^/:?#]+)', 1), '^www\\.', ''), '')"
 

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from siftwell.llm import abuse, boilerplate, components, languages, mixing, packing, pii, residue, site_lines, statistics, structure
+from siftwell.llm import abuse, boilerplate, chain, components, languages, mixing, packing, pii, residue, site_lines, statistics, structure
 from siftwell.llm import queries as Q
 
 DOCS = "doc_id long, text string, url string, lang string, source string, extra int, count long, site string"
@@ -271,10 +271,39 @@ def test_skip_edges_carry_evidence():
 def test_masking(spark):
     df = docs(spark, [("Mail x@y.example or x@y.example\nTel. 555-0162",), (None,), ("",)])
     names = spark.createDataFrame(NAMES, "name string, kind string")
-    out = {r.doc_id: r for r in pii.masked(df, names).collect()}
+    out = {r.doc_id: r for r in chain.masked(df, names).collect()}
     assert out[0].text == "Mail [EMAIL] or [EMAIL]\nTel. [PHONE]" and out[0].pii_counts.email == 2 and out[0].pii_counts.phone_numbers == 1
     assert out[1].text is None and out[2].text == "" and out[2].pii_counts.names == 0
-    assert {(r.line_no, r.kind) for r in pii.found(df, names).collect()} == {(1, "email"), (2, "phone")}
+    assert {(r.line_no, r.kind) for r in chain.found(df, names).collect()} == {(1, "email"), (2, "phone")}
+
+
+def test_field_agrees_with_certain_spans_held_out():
+    rng = random.Random(8)
+    people = [f"{g} {h}{t}" for g in ("Corvin", "Hazel") for h in ("Alder", "Brack", "Kess") for t in ("moor", "bury", "wick")]
+    carriers = {
+        "name": lambda: f"The talk was given by {rng.choice(people)} today.", "email": lambda: f"Write to u{rng.randrange(99)}@mail.example for it.",
+        "phone": lambda: f"Call +44 20 7946 {rng.randrange(1000, 9999)} now.", "id": lambda: f"Her SSN {rng.randrange(100, 900)}-{rng.randrange(10, 99)}-{rng.randrange(1000, 9999)} is known.",
+        "address": lambda: f"They live at {rng.randrange(1, 200)} Wint Street, Millfield.", "ip": lambda: f"Host 192.0.2.{rng.randrange(1, 250)} failed.",
+    }
+    make = lambda: (lambda ks: ("\n".join([PROSE, *[carriers[k]() for k in ks], "Release 4.22.41.1 fixed the fault. Order no. 01796-066 is on its way."]), set(enumerate(ks, 2))))(rng.sample(sorted(carriers), 3))
+    train, test = [make() for _ in range(150)], [make() for _ in range(60)]
+    tagger = pii.Tagger(NAMES)
+    field = chain.Field({"names": NAMES, "model": chain.fit(tagger, [t for t, _ in train])})
+    got = field.lines([t for t, _ in test])
+    for kind in pii.KINDS:
+        want = {(i, n) for i, (_, s) in enumerate(test) for n, k in s if k == kind}
+        found = {(i, n) for i, n, k in got if k == kind}
+        assert len(want & found) >= 0.95 * len(want) and len(want & found) >= 0.95 * len(found), kind
+
+
+def test_skip_edges_of_the_field_carry_labels():
+    k = len(chain.LABELS)
+    model = {"w": np.zeros((chain.BUCKETS, k), np.float32), "t": np.zeros((k, k)), "u": np.full(k, 3.0)}
+    score = np.zeros((2, k))
+    score[0, 5], score[1, 5] = 4.0, -0.5
+    x, none = np.zeros((2, chain.WIDE), np.int32), np.zeros((0, 2), np.int64)
+    apart, joined = chain.marginals(model, x, score, none, none), chain.marginals(model, x, score, none, np.array([[0, 1]]))
+    assert apart[1].argmax() != 5 and joined[1].argmax() == 5 and np.allclose(joined.sum(1), 1)
 
 
 def test_codewords_are_apart():
