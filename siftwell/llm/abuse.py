@@ -50,7 +50,7 @@ COUNTERS = 4000  # clean sentences of the sample that are fitted
 MOST = 6000  # counter-examples fitted of a round: the windows with the highest logits
 KEPT = 120  # letters of the longest line whose score is kept for when it comes again
 
-# Letters of other scripts and signs that stand for Latin letters.
+# Letters of other scripts and signs that stand for Latin letters.
 LOOKALIKE = str.maketrans("аеорсухіјԁѕһԛԝтпмкнвАЕОРСХ", "aeopcyxijdshqwtnmkhbaeopcx")
 SIGNS = str.maketrans("013457@$!€", "oieastasie")
 SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_][ .\-_·]){3,}[^\W\d_](?![^\W_])")

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Frequent function words of English, German, French, Spanish, Portuguese, Italian and Russian.
+# Frequent function words of English, German, French, Spanish, Portuguese, Italian and Russian.
 FUNCTION_WORDS = {
     "en": "the a an of to and in that it is was for on with as at by this these our every but while because before after from or which nobody".split(),
     "de": "der die das den dem des ein eine einen einem und oder aber denn ist im in am an auf mit von zu zum für wegen trotz ohne nach vor bei sondern auch nicht nur unser jeden keine in seit".split(),

@@ -60,7 +60,8 @@ def test_boilerplate(spark, small, pages):
 
 def test_boilerplate_of_empty_tables(spark, small, pages):
     assert boilerplate.boilerplate_lines(small.limit(0), pages).count() == 0
-    assert boilerplate.boilerplate_lines(small, pages.limit(0)).count() >= 0
+    # Without pages no template is known; a line that begins with the mark of a copyright is one by itself.
+    assert {(r.doc_id, r.line_no) for r in boilerplate.boilerplate_lines(small, pages.limit(0)).collect()} == {(0, 5)}
 
 
 def test_elements_know_the_body():
@@ -81,8 +82,9 @@ def test_profiles(spark, small, pages):
     assert {r.doc_id for r in statistics.not_prose(small, pages).collect()} == {5, 6}  # a table, and one sentence said over and over
     s = {r.doc_id: r for r in statistics.statistics(small, pages).collect()}
     assert len(s) == 7 and s[1].n_words is None and s[2].n_words == 0 and s[0].is_prose and not s[5].is_prose
-    names = [structure.NAMES[p] if p >= 0 else None for p in structure.line_profiles(["word " * 30, "ab12 cd34 ef56 ab78 1234 9f9f", "%$# ==* |/| ~~ ^^", PROSE, "• garden bench", "xkcd brtz wqrt lmnp zzkt vvbn hjkl"])[0]]
-    assert names == ["stuffed", "machine", "symbols", "plain", "list", "random"] or names[3] in structure.PROSE and names[0] == "stuffed" and names[4] == "list"
+    lines = ["word " * 30, "ab12 cd34 ef56 ab78 1234 9f9f", "%$# ==* |/| ~~ ^^", PROSE, "• garden bench", "xkcd brtz wqrt lmnp zzkt vvbn hjkl", "Der Hafen brauchte eine neue Brücke, und die Gemeinde fragte nach einem Plan für das Jahr."]
+    names = ["prose" if (n := structure.NAMES[p]) in structure.PROSE else n for p in structure.nearest_profiles(lines)]
+    assert names == ["stuffed", "machine", "symbols", "prose", "list", "random", "prose"]
 
 
 def test_counts_equal_plain_python(spark, small):
@@ -352,10 +354,39 @@ def test_abuse_held_out(spark):
     assert abuse.site_rates(df, labels).first().docs == 242
 
 
+# Columns of the results that are compared with true cases.
+FOUND = {
+    "p1_found": "doc_id bigint, line_no int", "p2_found": "doc_id bigint, line_no int, kind string", "p3_found": "doc_id bigint, lang string", "p4_found": "doc_id bigint, line_no int", "p5_found": "doc_id bigint",
+    "p6_found": "path string, group_path string", "p7_found": "doc_id bigint", "p10_found": "doc_id bigint",
+}
+EACH = ("p1_main_content", "p2_masked", "p3_document_languages", "p4_clean_text", "p5_scores", "p7_statistics")  # one row per document
+
+
 @pytest.mark.parametrize("name", sorted(Q.QUERIES))
 def test_queries_run(spark, sf, name):
     df = Q.QUERIES[name](spark, sf)
-    if name.endswith("_found"):
-        assert df.count() == df.distinct().count()
-    else:
-        assert df.limit(3).count() <= 3
+    rows = df.collect()
+    if name in FOUND:
+        assert ", ".join(f"{n} {t}" for n, t in df.dtypes) == FOUND[name]
+        assert len(rows) == len(set(rows))
+    if name in EACH:
+        ids = [r.doc_id for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id").collect()]
+        assert sorted(r.doc_id for r in rows) == sorted(ids)
+    if name not in ("p1_method", "p4_method", "p10_method", "p5_found", "p4_counted_lines"):  # few or none in the smallest tables
+        assert rows
+
+
+@pytest.mark.parametrize("name", sorted(Q.SQL))
+def test_equals_sql(spark, sf, name):
+    import os
+
+    import duckdb
+
+    con = duckdb.connect()
+    for f in os.listdir(sf):
+        con.execute(f"create view {f[:-8]} as select * from '{sf}/{f}'")
+    want = con.execute(Q.SQL[name]).df()
+    got = Q.QUERIES[name](spark, sf).toPandas()
+    cols = sorted(want.columns)
+    key = lambda df: sorted(map(str, df[cols].astype(object).where(df[cols].notna(), None).values.tolist()))
+    assert sorted(got.columns) == cols and key(got) == key(want)
