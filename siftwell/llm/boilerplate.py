@@ -73,7 +73,7 @@ TEASERS = (
 
 LONG = 160  # lines that are longer are not kept in the cache
 PROSE_BLANKS = 30  # lines with so many blanks are looked up by their first words first
-SHARED = 2_000_000  # templates shared by hosts that are broadcast at most; more are joined to the sites whose lines have them
+SHARED = 500_000  # templates shared by hosts that are broadcast at most; more are joined to the sites whose lines have them
 RUN = 40  # lines of the longest run that is looked up as one subtree
 DIGIT = re.compile(r"\d")
 
@@ -292,6 +292,8 @@ def _line_keys(batches):
                 b = bare(line.replace("\xa0", " ").replace("\r", " ").strip())
                 w = words(b)
                 found |= {(host, digest(k)) for k, _ in keys(line)} | {(host, digest("F" + " ".join(w[i : i + n]))) for i in range(len(w)) for n in (1, 2)}
+                found |= {(host, digest(kind + " ".join(w[:k]))) for k in (2, 3) for kind in "HF"} | {(host, digest("F" + " ".join(words(bare(x))))) for x in SEGMENT.split(b)}
+                found |= {(host, digest(opening(w)))} if w else set()
                 found |= {(host, digest("G" + x)) for x in w} | {(host, digest("H" + " ".join(words(bare(p))[:k]))) for p in SENTENCE.split(b) for k in (2, 3, 4)}
         rows = list(found)
         for i in range(0, len(rows), 50_000):
@@ -301,7 +303,10 @@ def _line_keys(batches):
 def with_shared(rows: DataFrame, fitted: Fitted) -> DataFrame:
     """Templates of each site, with those of all hosts that its documents' lines may need and its own do not decide."""
     asked = rows.select(F.coalesce("site", F.lit("")).alias("_site"), "text").mapInPandas(_line_keys, "site string, key long").distinct()
-    needed = asked.join(fitted.shared, "key").join(fitted.sites.select("site", "key"), ["site", "key"], "left_anti")
+    # Elements of several blocks are asked for by what they begin with.
+    trees = fitted.shared.where("value > 1").withColumnRenamed("start", "asked")
+    begun = asked.withColumnRenamed("key", "asked").join(trees, "asked").select("site", "key", "value", F.col("asked").alias("start"))
+    needed = asked.join(fitted.shared, "key").select("site", "key", "value", "start").unionByName(begun).distinct().join(fitted.sites.select("site", "key"), ["site", "key"], "left_anti")
     return fitted.sites.unionByName(needed.select("site", "key", "value", "start"))
 
 

@@ -39,6 +39,16 @@ def test_shared_templates_beyond_the_broadcast(spark, monkeypatch):
     test_long_lines_are_looked_up_whole(spark)
 
 
+def test_shared_elements_beyond_the_broadcast(spark, monkeypatch):
+    rows = [(i, f"http://h{i}.example/", "<nav><ul><li>Visit us in the old mill by the river</li><li>Closed in the second week</li></ul></nav>") for i in range(3)]
+    rows += [(10 + i, f"http://k{i}.example/", "<p>Closed in the second week</p><p>Visit us in the old mill by the river</p>") for i in range(3)]
+    docs = spark.createDataFrame([(1, "Visit us in the old mill by the river\nClosed in the second week\nText here", "http://new.example/x"), (2, "Closed in the second week", None)], "doc_id long, text string, url string")
+    for bound in (10, 0):
+        monkeypatch.setattr(boilerplate, "SHARED", bound)
+        found = {(r.doc_id, r.line_no) for r in boilerplate.template_lines(docs, spark.createDataFrame(rows, PAGES)).collect()}
+        assert found == {(1, 1), (1, 2)}, bound
+
+
 def test_elements_of_several_blocks_cover_runs_of_lines(spark):
     rows = [(i, "http://a.example/", f"<nav><ul><li>Visit us in the old mill by the river</li><li>Closed on the second day of {x}</li></ul></nav><p>The mill {x}.</p>") for i, x in enumerate(("spring", "spring", "spring", "autumn"))]
     many = [(10 + i, "http://a.example/", f"<p>Closed on the second day of {x}</p>") for i, x in enumerate(("winter", "summer", "may"))]
