@@ -313,10 +313,11 @@ def with_shared(rows: DataFrame, fitted: Fitted) -> DataFrame:
 def by_site(rows: DataFrame, fitted: Fitted, run, schema: str, value=None, make=None) -> DataFrame:
     """mapInPandas of run(frame, templates of each row, what is shared) over rows with a ``site``, each with the templates of its site.
 
-    Rows meet the templates of their site in one sorted stream.  A large site is
+    Rows without a doc_id are left out.  Rows meet the templates of their site in one sorted stream.  A large site is
     spread over several streams, each of which gets its templates.
     """
     names = rows.columns
+    rows = rows.where(F.col("doc_id").isNotNull())
     shared = share(rows.sparkSession, fitted.common if value is None else value)
     make = make or Held
     key = F.coalesce("site", F.lit(""))

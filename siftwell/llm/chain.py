@@ -239,7 +239,7 @@ def _shared(documents: DataFrame, person_names: DataFrame, sample: int):
 
 
 def found(documents: DataFrame, person_names: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(doc_id, line_no, kind) of each line and kind that the field finds; null and empty texts have none."""
+    """(doc_id, line_no, kind) of each line and kind that the field finds; null and empty texts, and rows without a doc_id, have none."""
     shared = _shared(documents, person_names, sample)
 
     def run(batches):
@@ -251,7 +251,7 @@ def found(documents: DataFrame, person_names: DataFrame, sample: int = SAMPLE) -
                 rows = [(ids[d], no, kind) for d, no, kind in field.lines(part["text"].tolist())]
                 yield pd.DataFrame(rows, columns=["doc_id", "line_no", "kind"]).astype({"doc_id": "int64", "line_no": "int32"})
 
-    rows = documents.where(F.col("text").isNotNull()).select("doc_id", "text")
+    rows = documents.where(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "text")
     return rows.mapInPandas(run, "doc_id long, line_no int, kind string")
 
 

@@ -117,9 +117,10 @@ def _fill(capacity: int):
 
 
 def windows(documents: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> DataFrame:
-    """A row per document (per piece, where it exceeds the capacity): its tokens, block and window in the block."""
+    """A row per document (per piece, where it exceeds the capacity): its tokens, block and window in the block; rows without a doc_id are left out."""
     if capacity < 1:
         raise ValueError("capacity must be positive")
+    documents = documents.where(F.col("doc_id").isNotNull())
     blocks = max(1, math.ceil(documents.count() / block))
     sized = documents.select("doc_id", token_counts(folder, vocabulary)("text").alias("n_tokens"))
     sized = sized.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)))
