@@ -32,12 +32,12 @@ def find_files(path: str) -> list[str]:
     from pyarrow import fs
 
     system, inner = file_system(path)
-    prefix = path.split("://", 1)[0] + "://" if "://" in path else ""
-    full = lambda p: prefix + (p if not prefix or p.startswith("/") or prefix not in ("file://",) else "/" + p)
+    bare = inner.rstrip("/")
+    head = path[: path.rindex(bare)] if "://" in path and bare in path else ""  # scheme and host, where the inner path lacks them
     kind = system.get_file_info(inner).type if "*" not in inner and "?" not in inner else None
     if kind == fs.FileType.File:
-        return [full(inner)]
+        return [head + inner]
     folder = inner if kind == fs.FileType.Directory else os.path.dirname(inner)
     pattern = "*" if kind == fs.FileType.Directory else os.path.basename(inner)
     found = system.get_file_info(fs.FileSelector(folder, allow_not_found=True))
-    return sorted(full(x.path) for x in found if x.type == fs.FileType.File and fnmatch.fnmatch(x.base_name, pattern))
+    return sorted(head + x.path for x in found if x.type == fs.FileType.File and fnmatch.fnmatch(x.base_name, pattern))

@@ -11,7 +11,7 @@ from siftwell.functions import bpe, murmur
 from siftwell.functions import text as T
 from siftwell.operators import classify, dedup, lines, quality, tokens
 from siftwell.plans import catalog, pipeline
-from siftwell.sources import text_files, warc
+from siftwell.sources import files, text_files, warc
 
 
 def docs(spark, *texts):
@@ -163,6 +163,19 @@ def test_chains_are_one_cluster(spark):
     assert {r.doc_id: r.cluster for r in dedup.clusters(df).collect()} == {0: 0, 1: 0, 2: 0, 3: 0}
 
 
+def test_addresses_of_files(tmp_path):
+    for name in ("a.wet", "b.wet", "c.txt"):
+        (tmp_path / name).write_bytes(b"x")
+    (tmp_path / "folder").mkdir()
+    assert files.find_files(str(tmp_path)) == [f"{tmp_path}/{x}" for x in ("a.wet", "b.wet", "c.txt")]
+    assert files.find_files(f"file://{tmp_path}/*.wet") == [f"file://{tmp_path}/{x}" for x in ("a.wet", "b.wet")]
+    assert files.find_files(f"file://{tmp_path}/c.txt") == [f"file://{tmp_path}/c.txt"] and files.find_files(f"{tmp_path}/none/*") == []
+    with files.open_file(f"file://{tmp_path}/new/d.bin", write=True) as f:
+        f.write(b"0123")
+    with files.open_file(f"{tmp_path}/new/d.bin", at=2) as f:
+        assert f.read() == b"23"
+
+
 def test_warc_audit(spark, tmp_path):
     rec = b"WARC/1.0\r\nWARC-Type: conversion\r\nContent-Length: 2\r\n\r\nhi\r\n\r\n"
     (tmp_path / "a.wet").write_bytes(rec * 3)
