@@ -37,6 +37,7 @@ CERTAIN = 0.9
 BUCKETS = 1 << 15
 NO_SHAPE, BOUND = -4.0, 6.0  # potential of a kind without a candidate, and the largest of one with
 WIDE = 16  # features of a token, at most
+LEAST = 0.2  # marginal of all kinds together from which a token belongs to one: a miss is worse than a mask too many
 EPOCHS = 30
 DROPPED = 0.1  # share of features left out of each step of the fit
 ROUNDS = 6
@@ -195,6 +196,11 @@ def marginals(model: dict, x: np.ndarray, score: np.ndarray, near: np.ndarray, s
     return p / p.sum(1, keepdims=True)
 
 
+def decided(p: np.ndarray) -> np.ndarray:
+    """Label of each token: the most probable kind where the kinds together reach LEAST, else none."""
+    return np.where(1 - p[:, 0] > LEAST, p[:, 1:].argmax(1) + 1, 0)
+
+
 class Field:
     """Tagger and trained potentials of one broadcast."""
 
@@ -208,7 +214,7 @@ class Field:
         if not g.ids:
             return []
         x, score, near, skip, _ = g.arrays()
-        best = marginals(self.model, x, score, near, skip).argmax(1)
+        best = decided(marginals(self.model, x, score, near, skip))
         return sorted({(g.owner[i], g.line[i], LABELS[best[i]]) for i in np.flatnonzero(best)})
 
 
@@ -219,7 +225,7 @@ class Field:
             return []
         x, score, near, skip, _ = g.arrays()
         p = marginals(self.model, x, score, near, skip)
-        best, out = p.argmax(1), []
+        best, out = decided(p), []
         for a, b, k, _, _ in self.tagger.candidates(text):
             inside = [i for i, (s, e) in enumerate(g.place) if s < b and e > a]
             hits = [i for i in inside if LABELS[best[i]] == k]

@@ -68,13 +68,16 @@ def often(counted: DataFrame, sizes: DataFrame, count: str, min_docs: int, share
 
 
 def distinct_lines(documents: DataFrame, spelled: bool = False) -> DataFrame:
-    """(site, h, n): documents of each distinct line of a site; ``spelled`` adds its words (the first spelling of several)."""
+    """(site, h, n): documents of each distinct line of a site.
+
+    ``spelled`` adds its words (the first spelling of several); a document that
+    spells a line in two ways then counts for each, so n is a bound.
+    """
     lines = F.filter(F.split("text", "\n", -1), lambda x: letters(x) != "")
     if spelled:
         rows = F.transform(lines, lambda x: F.struct(F.xxhash64(letters(x)).alias("h"), words(x).alias("words")))
-        each = with_site(documents).select("doc_id", "site", F.explode(F.array_distinct(rows)).alias("l")).select("doc_id", "site", "l.h", "l.words")
-        once = each.groupBy("doc_id", "site", "h").agg(F.min("words").alias("words"))  # one line spelled in two ways counts once
-        return once.groupBy("site", "h").agg(F.count("*").alias("n"), F.min("words").alias("words"))
+        each = with_site(documents).select("site", F.explode(F.array_distinct(rows)).alias("l")).select("site", "l.h", "l.words")
+        return each.groupBy("site", "h").agg(F.count("*").alias("n"), F.min("words").alias("words"))
     # Each document is one row: its lines are made distinct before anything is shuffled.
     hashes = F.array_distinct(F.transform(F.split("text", "\n", -1), lambda x: F.nullif(letters(x), F.lit(""))))
     each = with_site(documents).select("site", F.explode(hashes).alias("letters")).where(F.col("letters").isNotNull())
@@ -151,7 +154,8 @@ def _assign(batches):
 
 def line_templates(documents: DataFrame, min_docs: int = MIN_DOCS, share: int = SHARE) -> DataFrame:
     """(site, h, template): the template of each distinct line in leaves that may cover many documents."""
-    lines = cut(distinct_lines(documents, spelled=True).withColumn("leaf", leaf(F.col("words"))))
+    lines = distinct_lines(documents, spelled=True).withColumn("leaf", leaf(F.col("words")))
+    lines = cut(lines)  # once for the sizes of the leaves, once for the lines in them
     leaves = lines.groupBy("site", "leaf").agg(F.sum("n").alias("n"), F.count("*").alias("lines"))
     leaves = often(leaves, site_sizes(documents), "n", min_docs, share).select("site", "leaf", F.floor(F.col("lines") / LINES).cast("int").alias("parts"))
     kept = cut(lines.join(leaves, ["site", "leaf"]).select("site", "leaf", "h", "words", "parts"))
@@ -166,17 +170,24 @@ def line_templates(documents: DataFrame, min_docs: int = MIN_DOCS, share: int =
     return both.mapInPandas(_assign, "site string, h long, template string")
 
 
-def covering_templates(documents: DataFrame, min_docs: int = MIN_DOCS, share: int = SHARE) -> tuple[DataFrame, DataFrame]:
-    """Lines with their templates, and (site, template, n) of those that cover many documents; slots are stars."""
-    parsed = cut(site_lines(documents).join(line_templates(documents, min_docs, share), ["site", "h"]))
-    per = parsed.select("doc_id", "site", "template").distinct().groupBy("site", "template").agg(F.count("*").alias("n"))
-    return parsed, often(per, site_sizes(documents), "n", min_docs, share)
+def _parsed(documents: DataFrame, min_docs: int, share: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Templates of lines, lines with the hash of their template, and (site, t, n) of those that cover many documents."""
+    of = cut(line_templates(documents, min_docs, share))
+    parsed = cut(site_lines(documents).join(of.select("site", "h", F.xxhash64("template").alias("t")), ["site", "h"]).drop("h"))
+    per = parsed.select("doc_id", "site", "t").distinct().groupBy("site", "t").agg(F.count("*").alias("n"))
+    return of, parsed, often(per, site_sizes(documents), "n", min_docs, share)
+
+
+def covering_templates(documents: DataFrame, min_docs: int = MIN_DOCS, share: int = SHARE) -> DataFrame:
+    """(site, template, n) of the templates that cover many documents; slots are stars."""
+    of, _, covering = _parsed(documents, min_docs, share)
+    return of.select("site", "template", F.xxhash64("template").alias("t")).distinct().join(covering, ["site", "t"]).drop("t")
 
 
 def template_lines(documents: DataFrame, min_docs: int = MIN_DOCS, share: int = SHARE) -> DataFrame:
     """(doc_id, line_no) of the lines of templates that cover many documents of their site."""
-    parsed, templates = covering_templates(documents, min_docs, share)
-    return parsed.join(templates.select("site", "template"), ["site", "template"], "left_semi").select("doc_id", "line_no")
+    _, parsed, covering = _parsed(documents, min_docs, share)
+    return parsed.join(covering.select("site", "t"), ["site", "t"], "left_semi").select("doc_id", "line_no")
 
 
 def without_lines(documents: DataFrame, lines: DataFrame) -> DataFrame:

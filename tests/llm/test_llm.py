@@ -128,7 +128,7 @@ def test_line_templates_have_slots(spark, monkeypatch):
     rows = [(f"Story written for you by {p} of this paper\nown {p} text that {p} wrote {i}", f"http://a.example/{i}") for i, p in enumerate(people)]
     rows += [("Short", "http://a.example/x"), (None, "http://a.example/y"), ("Story written for you by nobody of this paper", None), ("Story written for you by jasmine of this paper", "http://b.example/")]
     df = docs(spark, rows)
-    _, templates = site_lines.covering_templates(df)
+    templates = site_lines.covering_templates(df)
     assert {(r.site, r.template, r.n) for r in templates.collect()} == {("a.example", "story written for you by * of this paper", 10)}
     assert {(r.doc_id, r.line_no) for r in site_lines.template_lines(df).collect()} == {(i, 1) for i in range(10)}
     assert site_lines.template_lines(df.limit(0)).count() == 0
