@@ -68,6 +68,7 @@ class Graph:
         self.near: list[tuple[int, int]] = []
         self.skip: list[tuple[int, int]] = []
         self.known: dict[str, int] = {}
+        self.found: dict[int, tuple[list, int, int]] = {}  # candidates of each text, and its tokens
         for d, text in enumerate(texts):
             if text:
                 self._add(tagger, d, text)
@@ -84,13 +85,14 @@ class Graph:
             return
         sure = pii.marginals(found)
         spans = sorted((a, b, k, p, s) for (a, b, k, s, _), p in zip(found, sure))
-        at, by = 0, defaultdict(list)
+        first, at, by = len(self.ids), 0, defaultdict(list)
         for no, line in enumerate(text.split("\n"), 1):
             end = at + len(line)
             inside = [s for s in spans if s[0] < end and s[1] > at]
             if inside:
                 self._line(tagger, d, no, line, at, inside, by)
             at = end + 1
+        self.found[d] = (found, first, len(self.ids))
         for members in by.values():
             self.skip += zip(members, members[1:])
 
@@ -218,19 +220,21 @@ class Field:
         return sorted({(g.owner[i], g.line[i], LABELS[best[i]]) for i in np.flatnonzero(best)})
 
 
-    def spans(self, text: str) -> list[tuple[int, int, str, float]]:
-        """(start, end, kind, marginal) of the candidates most of whose tokens the field gives their kind."""
-        g = Graph(self.tagger, [text])
+    def spans(self, texts: list) -> list[list[tuple[int, int, str, float]]]:
+        """(start, end, kind, marginal) of each text's candidates most of whose tokens the field gives their kind."""
+        g = Graph(self.tagger, texts)
+        out: list[list] = [[] for _ in texts]
         if not g.ids:
-            return []
+            return out
         x, score, near, skip, _ = g.arrays()
         p = marginals(self.model, x, score, near, skip)
-        best, out = decided(p), []
-        for a, b, k, _, _ in self.tagger.candidates(text):
-            inside = [i for i, (s, e) in enumerate(g.place) if s < b and e > a]
-            hits = [i for i in inside if LABELS[best[i]] == k]
-            if 2 * len(hits) > len(inside):
-                out.append((a, b, k, float(p[hits, LABELS.index(k)].mean())))
+        best = decided(p)
+        for d, (found, lo, hi) in g.found.items():
+            for a, b, k, _, _ in found:
+                inside = [i for i in range(lo, hi) if g.place[i][0] < b and g.place[i][1] > a]
+                hits = [i for i in inside if LABELS[best[i]] == k]
+                if 2 * len(hits) > len(inside):
+                    out[d].append((a, b, k, float(p[hits, LABELS.index(k)].mean())))
         return out
 
 
@@ -271,8 +275,10 @@ def masked(documents: DataFrame, person_names: DataFrame, sample: int = SAMPLE)
     def run(texts: pd.Series) -> pd.DataFrame:
         field = Lazy.of(shared, Field)
         rows = []
-        for x in texts:
-            y, n = pii.mask(x, field.spans(x)) if x else (x, dict.fromkeys(pii.KINDS, 0))
+        given = texts.tolist()
+        parts = [y for at in range(0, len(given), 1000) for y in field.spans(given[at : at + 1000])]
+        for x, spans in zip(given, parts):
+            y, n = pii.mask(x, spans) if x else (x, dict.fromkeys(pii.KINDS, 0))
             rows.append((y, n["email"], n["phone"], n["id"], n["address"], n["name"], n["ip"]))
         return pd.DataFrame(rows, columns=["text", "email", "phone_numbers", "id_numbers", "addresses", "names", "ip_address"])
 
