@@ -15,6 +15,7 @@ Null and empty texts give zero counts and are no prose and no junk.
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -154,7 +155,16 @@ def token_kinds(line: str) -> list[int]:
 # Share of a language's own function words in its prose; the profiles of prose are those of "prose" with that share.
 FUNCTION_SHARE = {"en": 0.30, "de": 0.28, "fr": 0.36, "es": 0.38, "pt": 0.36, "it": 0.34, "ru": 0.22}
 _SETS = {k: frozenset(v) for k, v in FUNCTION_WORDS.items()}
-_BARE = re.compile(r"^[^\w]+|[^\w]+$")
+_EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^`{|}~«»“”„…–—·•¿¡’‘©→☎€£¥°§®™†‡©×"  # marks around a word
+# Languages of each function word, as bits in the order of FUNCTION_WORDS.
+_BITS = {w: sum(1 << i for i, ws in enumerate(_SETS.values()) if w in ws) for w in COMMON}
+_LANGS = tuple(_SETS)
+
+
+def language_of(cores: list[str]) -> str:
+    """The language that has most of the function words among tokens (ties: the first)."""
+    found = Counter([_BITS[c] for c in cores if c in _BITS]).items()
+    return max(_LANGS, key=lambda k: sum(n for bits, n in found if bits >> _LANGS.index(k) & 1)) if found else _LANGS[0]
 
 
 def plain_kinds(line: str) -> tuple[list[int], str]:
@@ -170,11 +180,8 @@ def plain_kinds(line: str) -> tuple[list[int], str]:
     if m:
         n[6] = 1
         low = low[len(m[0].split()) :]
-    cores = [t if t.isalpha() else _BARE.sub("", t) for t in low]
-    lang, most = "en", 0
-    for k, words in _SETS.items():
-        if (c := sum(map(words.__contains__, cores))) > most:
-            lang, most = k, c
+    cores = [t if t.isalpha() else t.strip(_EDGES) for t in low]
+    lang = language_of(cores)
     own, at, said = _SETS[lang], 0, {}
     ends = [i + 1 for i, t in enumerate(low) if t[-1] in ".!?;"]
     for end in ends if ends and ends[-1] == len(low) else [*ends, len(low)]:
