@@ -5,12 +5,13 @@ classifier fitted on the labelled table gives posteriors over the domains, in
 multiples of 1 / PARTS.  Rates of documents are fitted by projected-gradient
 least squares, so that the expected tokens of each domain match its target:
 every step is one Spark aggregation of the expected totals, and what reaches the
-driver is one number per domain.  Documents of equal source and posterior have
-the same rate and are summed beforehand; the sums stay distributed.  Rates start
-at what the documents with a source give by themselves, those without at nothing,
-so the latter fill what a domain lacks.  Rates become whole copies by systematic
-selection in the order of length, so that the tokens chosen follow the rate
-closely.
+driver is one number per domain or pair of domains.  Documents without a source
+start at nothing and fill what a domain's own documents cannot give at their
+caps; those of equal posterior have the same rate and are summed beforehand, and
+the sums stay distributed.  The documents with a source give the rest of each
+target.  Rates become whole copies by systematic selection in the order of
+length, over the sum of the rates: the tokens chosen follow the rates closely,
+and rates too small for a copy each add up to copies.
 
 The size of the mix is a parameter; by default it is the largest at which the
 shares that sources cannot reach by themselves add up to at most SHORTFALL, so
@@ -22,6 +23,7 @@ negative counts as 0, a null max_repeats as 1.
 from __future__ import annotations
 
 import re
+import warnings
 import zlib
 
 import numpy as np
@@ -37,7 +39,8 @@ SAMPLE = 2000  # labelled documents the classifier is fitted on, about, chosen b
 BUCKETS = 1 << 12
 PARTS = 64  # posteriors are multiples of 1 / PARTS
 STEPS = 40
-CLOSE = 1e-4  # a step that moves every expected share by less is the last
+CLOSE = 1e-4  # expected shares are fitted to this
+RIDGES = [0.1**i for i in range(6)] + [CLOSE / PARTS]  # the last one costs a share less than CLOSE unless every document that could help is at its bound
 SHORTFALL = 0.02
 
 TOKEN = re.compile(r"[^\W\d_]+")
@@ -111,33 +114,68 @@ def rate_after(steps: list[list[float]], first: Column, cap: Column, parts: Colu
     return F.aggregate(vectors, first, lambda r, v: F.greatest(F.lit(0.0), F.least(cap, r - dot(v, parts))))
 
 
-def fit_rates(cells: DataFrame, target: list[float], size: float, steps: int = STEPS) -> list[list[float]]:
-    """Steps of the projected gradient over (parts, tokens, cap, first).
+def fit_rates(cells: DataFrame, target: list[float], size: float, steps: int = STEPS, low: list[float] | None = None) -> list[list[float]]:
+    """One vector v for rate_after() over (parts, tokens, cap, first), by projected gradients.
 
-    The gradient of a document's rate is its membership times what the domains'
-    expected shares miss their targets by, scaled by its tokens; scaled back,
-    documents of all lengths move alike, and the step is the inverse of the
-    largest eigenvalue of the token-weighted membership matrix.
+    An expected share misses by what it lies above its target or below ``low``
+    (the target too, unless given).  A document's rate is what it starts at less
+    its membership times v, projected onto its bounds, and the squares of all
+    misses and, by a ridge, of all moves weighted by tokens are least where
+    ridge * v is the miss.  Every step moves v down the gradient of the convex
+    dual, scaled by the token-weighted membership matrix of what lies within its
+    bounds, and shorter until the dual falls; ridges are lowered one by one.
     """
     n = len(target)
+    high, low = np.array(target, float), np.array(target if low is None else low, float)
     p = [F.get("parts", F.lit(i)) / PARTS for i in range(n)]
     pairs = [(i, j) for i in range(n) for j in range(i, n)]
-    row = cells.agg(*[F.sum(F.col("tokens") / size * p[i] * p[j]) for i, j in pairs]).first()
-    m = np.zeros((n, n))
-    for (i, j), x in zip(pairs, row):
-        m[i, j] = m[j, i] = x or 0.0
-    step = 1 / max(float(np.linalg.eigvalsh(m)[-1]), 1e-9)
-    done: list[list[float]] = []
-    before = None
-    for _ in range(steps):
-        rate = rate_after(done, F.col("first"), F.col("cap"), F.col("parts"))
-        sums = cells.select("tokens", "parts", rate.alias("rate")).agg(*[F.sum(F.col("rate") * F.col("tokens") / size * p[i]) for i in range(n)]).first()
-        share = np.array([x or 0.0 for x in sums])
-        if before is not None and np.abs(share - before).max() < CLOSE or np.abs(share - target).max() < CLOSE:
-            break
-        done.append([step * float(x) for x in share - np.array(target)])
-        before = share
-    return done
+
+    def at(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """Expected shares, membership matrix and the cells' part of the dual."""
+        raw = F.col("first") - dot(F.array(*[F.lit(float(x)) for x in v]), F.col("parts"))
+        w, r, x, within = F.col("tokens") / size, F.col("rate"), F.col("raw"), F.col("within")
+        moved = cells.select("parts", "tokens", "cap", raw.alias("raw"))
+        moved = moved.select("parts", "tokens", "raw", F.greatest(F.lit(0.0), F.least("cap", "raw")).alias("rate"), ((x >= 0) & (x <= F.col("cap"))).cast("int").alias("within"))
+        sums = [F.sum(w * r * q) for q in p] + [F.sum(w * within * p[i] * p[j]) for i, j in pairs] + [F.sum(w * r * (x - r / 2))]
+        row = [float(y or 0.0) for y in moved.agg(*sums).first()]
+        m = np.zeros((n, n))
+        for (i, j), y in zip(pairs, row[n:]):
+            m[i, j] = m[j, i] = y
+        return np.array(row[:n]), m, row[-1]
+
+    v = np.zeros(n)
+    share, m, dual = at(v)
+    helped = m.diagonal() > 0  # domains that some document counts for
+    side = lambda: np.where(v != 0, np.sign(v), np.where(share > high, 1.0, np.where(share < low, -1.0, 0.0))) * helped
+    whole = lambda u, d, ridge: ridge / 2 * u @ u + np.where(u > 0, high, low) @ u + d
+    done = 0
+    for ridge in RIDGES:
+        while True:
+            s = side()
+            on, g = s != 0, ridge * v - share + np.where(s > 0, high, low)
+            if not on.any() or np.abs(g[on]).max() < CLOSE:
+                break
+            if done >= steps:
+                warnings.warn(f"rates not fitted in {steps} steps: shares are off by up to {np.abs(g[on]).max():.6f}")
+                return [v.tolist()]
+            done += 1
+            way = np.zeros(n)
+            way[on] = -np.linalg.solve((ridge * np.eye(n) + m)[np.ix_(on, on)], g[on])
+            before, length = whole(v, dual, ridge), 1.0
+            while True:
+                u = np.where((v + length * way) * s > 0, v + length * way, 0.0)
+                found = at(u)
+                if whole(u, found[2], ridge) <= before + 1e-4 * (g @ (u - v)) or length < 1e-7:
+                    break
+                length /= 4
+            v, (share, m, dual) = u, found
+    return [v.tolist()] if v.any() else []
+
+
+def expected_shares(cells: DataFrame, steps: list[list[float]], n: int, size: float) -> list[float]:
+    rate = rate_after(steps, F.col("first"), F.col("cap"), F.col("parts"))
+    sums = cells.select("tokens", "parts", rate.alias("rate")).agg(*[F.sum(F.col("rate") * F.col("tokens") / size * F.get("parts", F.lit(i)) / PARTS) for i in range(n)]).first()
+    return [float(x or 0.0) for x in sums]
 
 
 def mix_size(own: list[float], wanted: list[float], shortfall: float = SHORTFALL) -> float:
@@ -162,9 +200,12 @@ def mixed(documents: DataFrame, targets: DataFrame, size: float | None = None, s
     known = documents.where(F.col("source").isNotNull()).select("doc_id", "source", "text", onehot.alias("parts"))
     unknown = documents.where(F.col("source").isNull()).select("doc_id", "source", "text", posteriors(model)("text").alias("parts"))
     sized = known.unionByName(unknown).select("doc_id", "source", "parts", token_counts(folder, vocabulary)("text").alias("n_tokens"))
-    sized = sized.withColumn("cell", F.coalesce("source", F.concat_ws(",", F.transform("parts", lambda x: x.cast("string"))))).withColumn("h", F.xxhash64("doc_id"))
+    sized = sized.withColumn("h", F.xxhash64("doc_id"))
+    # A cell for each source, and one for all documents without, these in the order of their likeliest domain.
+    likeliest = F.when(F.col("source").isNull(), F.array_position("parts", F.array_max("parts")))
+    sized = sized.withColumn("cell", F.concat_ws("", F.when(F.col("source").isNull(), "unknown").otherwise("source "), "source")).withColumn("lead", F.coalesce(likeliest, F.lit(0)))
     # In the order of cell and length, over ranges that split any hot cell; the ranges are kept.
-    placed = cut(sized.repartitionByRange("cell", "n_tokens", "h").withColumn("_b", F.spark_partition_id()))
+    placed = cut(sized.repartitionByRange("cell", "lead", "n_tokens", "h").withColumn("_b", F.spark_partition_id()))
     sums = {r["source"]: float(r["t"] or 0) for r in placed.where(F.col("source").isin(domains)).groupBy("source").agg(F.sum("n_tokens").alias("t")).collect()}
     caps, own = {s: c for s, _, c in rows}, [sums.get(s, 0.0) * c for s, _, c in rows]
     wanted = np.array([t if o > 0 else 0.0 for (_, t, _), o in zip(rows, own)])
@@ -172,24 +213,27 @@ def mixed(documents: DataFrame, targets: DataFrame, size: float | None = None, s
     total = (mix_size(own, wanted) if size is None else float(size)) if any(wanted) else 0.0
     if not total:
         return placed.select("doc_id", "source", "n_tokens", "parts", F.lit(0).alias("copies"))
-    start = {s: min(float(caps[s]), w * total / sums[s]) for s, w in zip(domains, wanted) if sums.get(s)}
-    # Documents of a source that has no target get nothing; those without a source are used once at most.
-    of = lambda values, other: F.coalesce(*[F.when(F.col("source") == s, float(v)) for s, v in values.items()], F.when(F.col("source").isNull(), other).otherwise(0.0))
-    first, cap = of(start, 0.0), of(caps, 1.0)
-    cells = cut(placed.groupBy("source", "parts").agg(F.sum("n_tokens").cast("double").alias("tokens")).select("parts", "tokens", first.alias("first"), cap.alias("cap")))
-    steps = fit_rates(cells, wanted, total)
-    return _copies(placed.withColumn("rate", rate_after(steps, first, cap, F.col("parts"))))
+    # Documents without a source are used once at most, for what the sources cannot give by themselves.
+    unknown = placed.where(F.col("source").isNull() & (F.col("n_tokens") > 0))
+    cells = cut(unknown.groupBy("parts").agg(F.sum("n_tokens").cast("double").alias("tokens")).withColumn("first", F.lit(0.0)).withColumn("cap", F.lit(1.0)))
+    steps = fit_rates(cells, wanted, total, low=[max(0.0, w - o / total) for w, o in zip(wanted, own)])
+    given = expected_shares(cells, steps, len(domains), total)
+    rates = {s: min(float(caps[s]), max(0.0, w - g) * total / sums[s]) for s, w, g in zip(domains, wanted, given) if sums.get(s)}
+    filling = F.when(F.col("source").isNull() & (F.col("n_tokens") > 0), rate_after(steps, F.lit(0.0), F.lit(1.0), F.col("parts")))
+    # Documents of a source that has no target get nothing.
+    return _copies(placed.withColumn("rate", F.coalesce(*[F.when(F.col("source") == s, r) for s, r in rates.items()], filling, F.lit(0.0))))
 
 
 def _copies(rated: DataFrame) -> DataFrame:
-    """Whole copies by systematic selection: of the documents of a cell in the order of length, every 1 / rate-th."""
-    per = rated.groupBy("cell", "_b").agg(F.count("*").alias("n"))  # a row per cell and range
-    before = F.sum("n").over(W.partitionBy("cell").orderBy("_b").rowsBetween(W.unboundedPreceding, -1))
-    per = per.select("cell", "_b", F.coalesce(before, F.lit(0)).alias("before"))
-    at = F.row_number().over(W.partitionBy("cell", "_b").orderBy("n_tokens", "h", "doc_id")) - 1
-    rank = F.col("before") + F.col("at")
-    ranked = rated.withColumn("at", at).join(per, ["cell", "_b"])
-    copies = F.floor(F.col("rate") * (rank + 1) + 0.5) - F.floor(F.col("rate") * rank + 0.5)
+    """Whole copies by systematic selection: along a cell, a copy wherever the sum of the rates passes a half."""
+    rated = rated.withColumn("rate", F.col("rate").cast("decimal(22,12)"))  # sums are exact in any order
+    per = rated.groupBy("cell", "_b").agg(F.sum("rate").alias("sum"))  # a row per cell and range
+    before = F.sum("sum").over(W.partitionBy("cell").orderBy("_b").rowsBetween(W.unboundedPreceding, -1))
+    per = per.select("cell", "_b", F.coalesce(before, F.lit(0)).cast("decimal(34,12)").alias("before"))
+    upto = F.sum("rate").over(W.partitionBy("cell", "_b").orderBy("lead", "n_tokens", "h", "doc_id").rowsBetween(W.unboundedPreceding, W.currentRow))
+    ranked = rated.withColumn("upto", upto).join(per, ["cell", "_b"])
+    end = F.col("before") + F.col("upto") + F.lit(0.5).cast("decimal(2,1)")
+    copies = F.floor(end) - F.floor(end - F.col("rate"))
     return ranked.select("doc_id", "source", "n_tokens", "parts", copies.cast("int").alias("copies"))
 
 

@@ -233,6 +233,48 @@ def test_unlabelled_documents_fill_a_short_domain(spark):
     assert share["b"].share < 0.4 and abs(share["b"].expected_share - 0.5) < 0.06 and share[None].tokens > 0
 
 
+LETTERS = "abcdefghijklmnopqrst"
+
+
+def of_two_vocabularies(many, few, unknown):
+    """Rows of two sources without common words, and rows without a source that have all words of the second and from none on of the first."""
+    first, second = ([f"{w}{x}" for x in LETTERS] for w in ("alpha", "beta"))
+    rows = [(" ".join(first), None, None, "a")] * many + [(" ".join(second), None, None, "b")] * few
+    return rows + [(" ".join(second + first[:k]),) for k in range(unknown)]
+
+
+def test_the_fit_goes_on_while_shares_miss_by_much(spark):
+    targets = spark.createDataFrame([("a", 0.98, 1), ("b", 0.02, 1)], "source string, target_share double, max_repeats int")
+    mixed = mixing.mixed(docs(spark, of_two_vocabularies(800, 4, 3)), targets).collect()
+    assert [r.copies for r in mixed if r.source is None] == [1, 1, 1]
+
+
+def test_rates_below_a_half_add_up_to_copies(spark):
+    table = docs(spark, of_two_vocabularies(300, 14, 20))
+    targets = spark.createDataFrame([("a", 0.95, 1), ("b", 0.05, 1)], "source string, target_share double, max_repeats int")
+    whole = sum(r.n_tokens for r in mixing.mixed(table, targets).collect() if r.source == "a")
+    mixed = mixing.mixed(table, targets, size=whole / 0.95)
+    assert mixed.where("source IS NULL").select("parts").distinct().count() > 8
+    share = {r.source: r for r in mixing.shares(mixed, targets).collect()}
+    assert 5 <= share[None].copies <= 7 and share[None].most_copies == 1
+    assert share["b"].share < 0.035 and abs(share["b"].expected_share - 0.05) < 0.003
+
+
+def test_rates_are_least_squares(spark):
+    random = np.random.default_rng(3)
+    parts = np.vstack([random.multinomial(64, [0.4, 0.3, 0.2, 0.1], 60), random.multinomial(64, [0.0, 0.0, 0.05, 0.95], 3)])
+    tokens = random.exponential(1.0, 63) ** 2
+    tokens /= tokens.sum()
+    cells = spark.createDataFrame([([int(x) for x in p], float(t), 0.0, 1.0) for p, t in zip(parts, tokens)], "parts array<int>, tokens double, first double, cap double")
+    target = np.array([0.1, 0.2, 0.15, 0.2])
+    a, r = parts / 64 * tokens[:, None], np.zeros(63)
+    for _ in range(50_000):
+        r = np.clip(r - a @ (r @ a - target) / (a.T @ a).trace(), 0, 1)
+    steps = mixing.fit_rates(cells, target.tolist(), 1.0)
+    got = [x.r for x in cells.select(mixing.rate_after(steps, F.col("first"), F.col("cap"), F.col("parts")).alias("r")).collect()]
+    assert np.abs((got - r) @ a).max() < 1e-3
+
+
 NAMES = [("Corvin", "given"), ("Hazel", "given"), *[(h + t, "surname") for h in ("Alder", "Brack", "Kess") for t in ("moor", "bury", "wick")]]
 
 
