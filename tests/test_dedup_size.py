@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import duckdb
 import pytest
 
 from siftwell.operators import dedup
@@ -33,3 +34,16 @@ def test_pairs_of_all_similarities_equal_brute_force(spark, tenths):
     want = {(a, b) for a, b in itertools.combinations(sorted(sets), 2) if 10 * len(sets[a] & sets[b]) >= tenths * len(sets[a] | sets[b])}
     got = {(r.src, r.dst, r.inter, r.total) for r in dedup.near_pairs(df, 2, tenths)[0].collect()}
     assert got == {(a, b, len(sets[a] & sets[b]), len(sets[a] | sets[b])) for a, b in want} and (want or tenths == 10)
+
+
+def test_jaccard_pairs_lists_copies(spark, tmp_path):
+    from siftwell.plans import catalog
+
+    w = [f"w{i}" for i in range(100)]
+    texts = [" ".join(w), " ".join(w) + "!", " ".join(w[3:]), " ".join(w[3:]), "one two three four five", "One two three four five", "too short", "too short"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = {(0, 1, 96, 96), (2, 3, 93, 93), (4, 5, 1, 1)} | {(a, b, 93, 96) for a in (0, 1) for b in (2, 3)}
+    assert sorted(tuple(r) for r in catalog.QUERIES["jaccard_pairs"](spark, str(tmp_path)).collect()) == sorted(want)
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    assert sorted(con.execute(catalog.SQL["jaccard_pairs"]).fetchall()) == sorted(want)
