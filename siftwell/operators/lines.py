@@ -9,6 +9,7 @@ from siftwell import lexicons as X
 from siftwell.functions import text as T
 
 ASCII_WS = r"[\t-\r ]"
+SPACES = "\t\n\v\f\r "  # the same, one by one
 
 
 def _any(low: Column, terms) -> Column:
@@ -50,7 +51,7 @@ def filter_lines(c: Column, **kw) -> Column:
 def feed_lines(df: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
     """(key, line_no from 0, line, stripped) of every line between line feeds."""
     out = df.select(key, F.posexplode(T.feed_lines(F.col(column))).alias("line_no", "line"))
-    return out.withColumn("stripped", F.regexp_replace("line", rf"\A{ASCII_WS}+|{ASCII_WS}+\z", ""))
+    return out.withColumn("stripped", F.btrim("line", F.lit(SPACES)))
 
 
 def line_counts(lines: DataFrame) -> DataFrame:
@@ -68,11 +69,12 @@ def exact_line_dedup(df: DataFrame, key: str = "doc_id", column: str = "text") -
     """
     raw = feed_lines(df, key, column)
     places = raw.select(key, "line_no", F.sha2("stripped", 256).alias("h"), (F.col("stripped") == "").alias("blank"))
-    filled = places.where(~F.col("blank")).groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct(key, "line_no")).alias("p")).where("n = 1").select(f"p.{key}", "p.line_no")
-    blank = places.where("blank").agg(F.count("*").alias("n"), F.min(F.struct(key, "line_no")).alias("p")).where("n = 1").select(f"p.{key}", "p.line_no")
+    filled = places.where(~F.col("blank")).groupBy("h").agg(F.count("*").alias("n"), F.min(key).alias(key), F.min("line_no").alias("line_no")).where("n = 1").select(key, "line_no")
+    blank = places.where("blank").agg(F.count("*").alias("n"), F.min(key).alias(key), F.min("line_no").alias("line_no")).where("n = 1").select(key, "line_no")
     kept = filled.unionByName(blank).groupBy(key).agg(F.array_sort(F.collect_list("line_no")).alias("_kept"))
     lines = T.feed_lines(F.col(column))
-    text = F.array_join(F.transform("_kept", lambda i: F.element_at(lines, i + 1)), "\n")
+    # The lines are bound once: written into the inner function, they would be split anew for every line.
+    text = F.element_at(F.transform(F.array(lines), lambda bound: F.array_join(F.transform("_kept", lambda i: F.element_at(bound, i + 1)), "\n")), 1)
     return df.select(key, column).join(kept, key, "left").select(key, F.coalesce(text, F.lit("")).alias(column))
 
 

@@ -47,3 +47,26 @@ def test_jaccard_pairs_lists_copies(spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
     assert sorted(con.execute(catalog.SQL["jaccard_pairs"]).fetchall()) == sorted(want)
+
+
+def test_links_are_made_once(spark, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+
+    def rows(batches):
+        for d in batches:
+            made.add(len(d))
+            yield d
+
+    edges = spark.createDataFrame([(1, 2), (2, 3), (7, 8)], "src long, dst long").mapInPandas(rows, "src long, dst long")
+    assert {(r.id, r.label) for r in dedup.components(edges).collect()} == {(1, 1), (2, 1), (3, 1), (7, 7), (8, 7)}
+    assert made.value == 3
+
+
+def test_kept_lines_split_a_text_once(spark):
+    from siftwell.operators import lines
+
+    df = spark.createDataFrame([(0, "a\nb\nc\nb\n\nd"), (1, "c\ne"), (2, None)], "doc_id long, text string")
+    out = lines.exact_line_dedup(df)
+    assert {r.doc_id: r.text for r in out.collect()} == {0: "a\n\nd", 1: "e", 2: ""}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "element_at(lambda" in plan
