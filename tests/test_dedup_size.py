@@ -70,3 +70,10 @@ def test_kept_lines_split_a_text_once(spark):
     assert {r.doc_id: r.text for r in out.collect()} == {0: "a\n\nd", 1: "e", 2: ""}
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "element_at(lambda" in plan
+
+
+def test_survivors_keep_no_shingles(spark, monkeypatch):
+    kept = kept_columns(monkeypatch)
+    df = spark.createDataFrame(list(enumerate(near_copies(random.Random(2), 4, 3))), "doc_id long, text string")
+    assert dedup.survivors(df, n=2, tenths=4).count() < 12
+    assert kept and not [c for columns in kept for c in columns.items() if "array" in c[1]]
